@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, mixing, token_counts, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, mixing, token_counts, warc
 from cairnlake.llm.common import table
 
 
@@ -33,5 +33,9 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op7_chat_formatting, op9_warc_archive)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
