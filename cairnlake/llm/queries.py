@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, jaccard_join, mixing, token_counts, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, mixing, suffix_dedup, token_counts, warc
 from cairnlake.llm.common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_replay.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -37,5 +41,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
