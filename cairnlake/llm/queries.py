@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, jaccard_join, mixing, suffix_dedup, token_counts, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, suffix_dedup, token_counts, warc
 from cairnlake.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_lattice_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -41,5 +45,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
