@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, suffix_dedup, token_counts, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, suffix_dedup, token_counts, toxicity, warc
 from cairnlake.llm.common import table
 
 
+def op1_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "toxic_neighbours", "evidence")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -45,5 +51,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
