@@ -177,21 +177,25 @@ def decode_ids(ids: np.ndarray, vocabulary: Vocabulary) -> bytes:
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids array<int>) of every row. Null and empty texts have no ids. Row order, repeated rows
-    and null ids pass through; other columns are left out."""
+    """(id_col, ids array<int>, n_tokens, restored) of every row; restored says that decoding the ids gives the
+    text's bytes again. Null and empty texts have no ids. Row order, repeated rows and null ids pass through;
+    other columns are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranked_bytes(path)
         for block in text_blocks(batches, "_text", BLOCK_BYTES):
-            ids, ends = encode_block(*text_bytes(block["_text"]), vocabulary)
+            data, offsets = text_bytes(block["_text"])
+            ids, ends = encode_block(data, offsets, vocabulary)
             for a in range(0, block.num_rows, 1024):
                 b = min(a + 1024, block.num_rows)
                 part = ids[ends[a] : ends[b]]
                 lists = pa.ListArray.from_arrays(pa.array((ends[a : b + 1] - ends[a]).astype(np.int32)), pa.array(part))
-                yield pa.RecordBatch.from_arrays([block["_id"].slice(a, b - a).combine_chunks(), lists], [id_col, "ids"])
+                restored = [decode_ids(ids[ends[i] : ends[i + 1]], vocabulary) == data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
+                own = block["_id"].slice(a, b - a).combine_chunks()
+                yield pa.RecordBatch.from_arrays([own, lists, pa.array(np.diff(ends[a : b + 1])), pa.array(restored)], [id_col, "ids", "n_tokens", "restored"])
 
     source = df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids array<int>")
+    return source.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids array<int>, n_tokens bigint, restored boolean")
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

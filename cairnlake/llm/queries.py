@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, suffix_dedup, token_counts, toxicity, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, spotsigs, suffix_dedup, token_counts, toxicity, warc
 from cairnlake.llm.common import table
 
 
@@ -17,7 +17,7 @@ def op1_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op3_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
 
@@ -51,5 +55,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op9_warc_archive, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op8_spot_signatures, op9_warc_archive, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}

@@ -376,9 +376,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _sort_suffixes(fetched).groupBy("doc").agg(F.collect_list("pack").alias("packs"))
 
 
-def remove_repeats(df: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, kept binary) of every row, and the columns named in keep."""
+def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row, and the columns named in keep. With `texts`,
+    also kept_text: the bytes left as text, without characters of which only a part is left."""
     names = [f"keep_{i}" for i in range(len(keep or []))]
+    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text", 8 << 20):
@@ -400,12 +402,14 @@ def remove_repeats(df: DataFrame, keep: list[str] | None = None, id_col: str = "
                 removed.append(len(text) - len(rest))
                 counts.append(len(spans))
                 digests.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            own = [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays([block["doc"].combine_chunks(), *own, *[block[c].combine_chunks() for c in names]], ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *names])
+                if texts:
+                    kept.append(rest.decode(errors="ignore"))
+            own = [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())]
+            own += [pa.array(kept, pa.string())] if texts else []
+            yield pa.RecordBatch.from_arrays([block["doc"].combine_chunks(), *own, *[block[c].combine_chunks() for c in names]], ["doc", *made, *names])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
     rows = rows.join(repeated_spans(df, id_col, text_col), "doc", "left")
-    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary" + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep or [], names))
+    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * texts + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep or [], names))
     out = rows.select("doc", "text", "packs", *names).mapInArrow(run, schema)
-    return out.select(F.col("doc").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *[F.col(k).alias(c) for c, k in zip(keep or [], names) if c != id_col])
+    return out.select(F.col("doc").alias(id_col), *made, *[F.col(k).alias(c) for c, k in zip(keep or [], names) if c != id_col])
