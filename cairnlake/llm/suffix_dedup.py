@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,13 +107,31 @@ def _rows(buckets: int | None, doc: np.ndarray, records: np.ndarray, kind: int)
     return pa.RecordBatch.from_arrays([pa.array(bucket), *columns], ["bucket", "kind", "doc", "pack"])
 
 
+def _squeezed(records: np.ndarray) -> bytes:
+    """Records field by field, ids as differences, compressed: most of them are small numbers in order."""
+    doc = np.diff(records["doc"], prepend=np.int64(0))
+    fields = [doc if name == "doc" else np.ascontiguousarray(records[name]) for name in ANCHOR.names]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(f.tobytes() for f in fields))
+
+
+def _restored(pack: bytes) -> np.ndarray:
+    plain = zstandard.ZstdDecompressor().decompress(pack)
+    out = np.zeros(len(plain) // ANCHOR.itemsize, ANCHOR)
+    at = 0
+    for name in ANCHOR.names:
+        field = np.frombuffer(plain, ANCHOR[name], len(out), at)
+        out[name] = np.cumsum(field) if name == "doc" else field
+        at += field.nbytes
+    return out
+
+
 def _by_bucket(bucket: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((records["start"], records["sign"], records["doc"], bucket))
     bucket, records = bucket[order], records[order]
     at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(at[1:], len(bucket))
     n = len(at)
-    return pa.RecordBatch.from_arrays([pa.array(bucket[at].astype(np.int32)), pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array([records[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())], ["bucket", "kind", "doc", "pack"])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at].astype(np.int32)), pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array([_squeezed(records[a:b]) for a, b in zip(at, ends)], pa.binary())], ["bucket", "kind", "doc", "pack"])
 
 
 def _firsts(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +199,7 @@ def _match_anchors(found: DataFrame) -> DataFrame:
             for bucket, pack in zip(rest.column(0).to_pylist(), rest.column(3).to_pylist()):
                 held.setdefault(bucket, []).append(pack)
         for bucket in list(held):
-            first, rest = _firsts(np.frombuffer(b"".join(held.pop(bucket)), ANCHOR))
+            first, rest = _firsts(np.concatenate([_restored(p) for p in held.pop(bucket)]))
             if len(rest):
                 yield _rows(None, rest["doc"], _covered(rest), 0)
             again = np.zeros(len(first), bool)
@@ -408,8 +427,9 @@ def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = F
             own += [pa.array(kept, pa.string())] if texts else []
             yield pa.RecordBatch.from_arrays([block["doc"].combine_chunks(), *own, *[block[c].combine_chunks() for c in names]], ["doc", *made, *names])
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
-    rows = rows.join(repeated_spans(df, id_col, text_col), "doc", "left")
+    everything = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
+    rows = everything.where("doc is not null").join(repeated_spans(df, id_col, text_col), "doc", "left")
+    rows = rows.unionByName(everything.where("doc is null").withColumn("packs", F.lit(None).cast("array<binary>")))
     schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * texts + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep or [], names))
     out = rows.select("doc", "text", "packs", *names).mapInArrow(run, schema)
     return out.select(F.col("doc").alias(id_col), *made, *[F.col(k).alias(c) for c, k in zip(keep or [], names) if c != id_col])
