@@ -166,8 +166,8 @@ def _find_anchors(documents: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for block in text_blocks(batches, "text", BLOCK_BYTES):
-            data, offsets = text_bytes(block["text"])
+        for block in text_blocks(batches, "body", BLOCK_BYTES):
+            data, offsets = text_bytes(block["body"])
             (doc, gram, first, windows), grams, stretches = anchors(data, offsets)
             if not len(doc):
                 continue
@@ -219,8 +219,8 @@ def _fetch(asked: DataFrame, documents: DataFrame, buckets: int) -> DataFrame:
     """Spans pass through by a bucket of the document; anchors get their bytes and a bucket of the gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text", BLOCK_BYTES):
-            data, offsets = text_bytes(block["text"])
+        for block in text_blocks(batches, "body", BLOCK_BYTES):
+            data, offsets = text_bytes(block["body"])
             docs = block["doc"].to_pylist()
             bucket, kinds, ids, packs = [], [], [], []
             for i, rows in enumerate(block["rows"].to_pylist()):
@@ -247,7 +247,7 @@ def _fetch(asked: DataFrame, documents: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kinds, pa.int32()), pa.array(ids, pa.int64()), pa.array(packs, pa.binary())], ["bucket", "kind", "doc", "pack"])
 
     each = asked.groupBy("doc").agg(F.collect_list(F.struct("kind", "pack")).alias("rows"))
-    return documents.join(each, "doc").select("doc", "text", "rows").mapInArrow(run, "bucket int, kind int, doc bigint, pack binary")
+    return documents.join(each, "doc").select("doc", "body", "rows").mapInArrow(run, "bucket int, kind int, doc bigint, pack binary")
 
 
 class Suffixes:
@@ -389,7 +389,7 @@ def _sort_suffixes(fetched: DataFrame) -> DataFrame:
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, packs): packed spans of each document that has bytes to remove."""
     n = shuffle_partitions(df.sparkSession)
-    documents = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
+    documents = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body")).where("doc is not null")
     found = _find_anchors(documents, 4 * n).repartition(n, "bucket")
     fetched = _fetch(_match_anchors(found), documents, 16 * n).repartition(n, "bucket")
     return _sort_suffixes(fetched).groupBy("doc").agg(F.collect_list("pack").alias("packs"))
@@ -402,8 +402,8 @@ def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = F
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text", 8 << 20):
-            data, offsets = text_bytes(block["text"])
+        for block in text_blocks(batches, "body", 8 << 20):
+            data, offsets = text_bytes(block["body"])
             removed, counts, digests, kept = [], [], [], []
             for i, packs in enumerate(block["packs"].to_pylist()):
                 text = data[offsets[i] : offsets[i + 1]]
@@ -427,9 +427,9 @@ def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = F
             own += [pa.array(kept, pa.string())] if texts else []
             yield pa.RecordBatch.from_arrays([block["doc"].combine_chunks(), *own, *[block[c].combine_chunks() for c in names]], ["doc", *made, *names])
 
-    everything = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
+    everything = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
     rows = everything.where("doc is not null").join(repeated_spans(df, id_col, text_col), "doc", "left")
     rows = rows.unionByName(everything.where("doc is null").withColumn("packs", F.lit(None).cast("array<binary>")))
     schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * texts + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep or [], names))
-    out = rows.select("doc", "text", "packs", *names).mapInArrow(run, schema)
+    out = rows.select("doc", "body", "packs", *names).mapInArrow(run, schema)
     return out.select(F.col("doc").alias(id_col), *made, *[F.col(k).alias(c) for c, k in zip(keep or [], names) if c != id_col])
