@@ -23,7 +23,7 @@ def orphans(removed: DataFrame, edges: DataFrame, subject: str) -> DataFrame:
     return removed.select(subject).distinct().join(edges.select(subject), subject, "left_anti")
 
 
-def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str = "issuer_fingerprint", most_steps: int = 12) -> DataFrame:
+def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str = "issuer_fingerprint", most_steps: int = 5) -> DataFrame:
     """(key, root, steps): each certificate followed to one without a known issuer or that issued itself.
 
     Every round doubles the distance covered, so a chain of 2**most_steps is reached."""
@@ -33,6 +33,4 @@ def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str =
     for _ in range(most_steps):
         ahead = up.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("steps").alias("more"))
         up = up.join(ahead, "root").select("node", F.col("next").alias("root"), (F.col("steps") + F.col("more")).alias("steps"))
-        if most_steps > 4:
-            up = up.checkpoint(eager=True) if up.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else up
     return up.select(F.col("node").alias(key), "root", "steps")

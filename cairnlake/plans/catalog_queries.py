@@ -1,4 +1,321 @@
-"""Registered queries of the catalog operators, each with the SQL that gives the same rows."""
+"""Registered queries of the catalog operators over the driver's tables, each with the SQL that gives the same rows.
+
+The tables stand in for catalog data: events for the event log, orders for package versions of a customer,
+lineitem for rows to merge, documents and pages for package contents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairnlake.functions import scalars
+from cairnlake.operators import checks, edges, events, merge, ranks, reprocess, universe
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+LOW, HIGH = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+
+
+def _ntz(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+@_query("""
+SELECT user_id, event_type, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
+def latest_event_per_key(spark, sf_dir):
+    log = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return events.latest(log, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+@_query(f"SELECT event_id, event_type FROM events WHERE ts > TIMESTAMP '{LOW}' AND ts <= TIMESTAMP '{HIGH}'")
+def commit_range(spark, sf_dir):
+    return _t(spark, sf_dir, "events").where(events.in_bounds(F.col("ts"), _ntz(LOW), _ntz(HIGH))).select("event_id", "event_type")
+
+
+@_query("""
+WITH pages AS (SELECT strftime(o_orderdate, '%Y-%m') AS page, count(*) AS leaves FROM orders GROUP BY 1),
+     l AS (SELECT *, lag(page) OVER (ORDER BY page) AS b FROM pages WHERE page > '1996-03')
+SELECT page, leaves FROM l WHERE b IS NULL OR b <= '1998-06'""")
+def page_pruning(spark, sf_dir):
+    pages = _t(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("page")).agg(F.count("*").alias("leaves"))
+    return events.prune_pages(pages, "page", "1996-03", "1998-06").select("page", "leaves")
+
+
+@_query("""
+SELECT user_id, strftime(ts, '%Y-%m-%d') AS page, event_type, max_by(event_id, (ts, event_id)) AS event_id
+FROM events GROUP BY 1, 2, 3""")
+def redundant_leaves(spark, sf_dir):
+    log = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("page"))
+    return events.drop_redundant(log, "page", ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "page", "event_type", "event_id")
+
+
+@_query("""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS version_order FROM orders),
+f AS (SELECT *,
+  max(CASE WHEN o_orderstatus <> 'F' THEN version_order END) OVER w AS a,
+  max(CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW' THEN version_order END) OVER w AS b,
+  max(CASE WHEN o_orderstatus = 'O' THEN version_order END) OVER w AS c,
+  max(CASE WHEN o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' THEN version_order END) OVER w AS d
+  FROM r WINDOW w AS (PARTITION BY o_custkey))
+SELECT o_orderkey, o_custkey, version_order, coalesce(a = version_order, false) AS is_latest_any, coalesce(b = version_order, false) AS is_latest_stable_any,
+  coalesce(c = version_order, false) AS is_latest, coalesce(d = version_order, false) AS is_latest_stable FROM f""")
+def rank_and_latest_flags(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    listed, first, stable = F.col("o_orderstatus") != "F", F.col("o_orderstatus") == "O", F.col("o_orderpriority") != "5-LOW"
+    flags = {"is_latest_any": listed, "is_latest_stable_any": listed & stable, "is_latest": first, "is_latest_stable": first & stable}
+    out = ranks.latest_flags(orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], flags, "version_order")
+    return out.select("o_orderkey", "o_custkey", F.col("version_order").cast("long").alias("version_order"), *flags)
+
+
+@_query("""
+WITH r AS (SELECT l_partkey, l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_orderkey % 2 = 0 THEN NULL ELSE l_suppkey END AS scanned, l_suppkey % 7 AS batch FROM lineitem),
+k AS (SELECT *, rank() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, scanned DESC NULLS LAST, batch) AS n FROM r)
+SELECT DISTINCT l_partkey, l_orderkey, l_linenumber FROM k WHERE n = 1""")
+def merge_prune(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", F.when(F.col("l_orderkey") % 2 != 0, F.col("l_suppkey")).alias("scanned"), (F.col("l_suppkey") % 7).alias("batch"))
+    existing, new = rows.where("scanned is null"), rows.where("scanned is not null")
+    return merge.newest_batch(existing.unionByName(new), ["l_partkey"], "l_shipdate", "scanned", "batch").select("l_partkey", "l_orderkey", "l_linenumber").distinct()
+
+
+@_query("""
+SELECT l_partkey, max_by(l_returnflag, (l_shipdate, l_orderkey, l_linenumber)) AS l_returnflag,
+  max_by(l_quantity, (l_orderkey, l_shipdate, l_orderkey, l_linenumber)) AS l_quantity,
+  max_by(l_tax, (l_suppkey, l_shipdate, l_orderkey, l_linenumber)) AS l_tax
+FROM lineitem GROUP BY l_partkey HAVING NOT bool_or(l_discount = 0.1 AND l_tax = 0.08 AND l_linestatus = 'F')""")
+def max_block_merge(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_shipdate", "l_linenumber", F.col("l_orderkey").alias("signed"), "l_quantity", F.col("l_suppkey").alias("stamped"), "l_tax", "l_orderkey", ((F.col("l_discount") == 0.1) & (F.col("l_tax") == 0.08) & (F.col("l_linestatus") == "F")).alias("gone"))
+    out = merge.block_merge(rows, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber"], {"signed": ["l_quantity"], "stamped": ["l_tax"]}, "gone")
+    return out.select("l_partkey", "l_returnflag", "l_quantity", "l_tax")
+
+
+@_query("""
+SELECT l_partkey, l_orderkey, l_linenumber, l_quantity FROM (
+ SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber) n FROM lineitem) WHERE n = 1""")
+def most_downloads(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return merge.greatest_row(rows, ["l_partkey"], "l_quantity", ["l_orderkey", "l_linenumber"])
+
+
+@_query("""
+SELECT p_partkey, coalesce(q, 0)::BIGINT AS downloads, sum(coalesce(q, 0)) OVER (PARTITION BY p_brand)::BIGINT AS total_downloads
+FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity)::BIGINT AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) ON p_partkey = l_partkey""")
+def totals_with_universe(spark, sf_dir):
+    known = _t(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    facts = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum("l_quantity").cast("long").alias("downloads"))
+    rows = universe.with_defaults(known, facts, ["p_partkey"], {"downloads": 0})
+    totals = rows.groupBy("p_brand").agg(F.sum("downloads").alias("total_downloads"))
+    return rows.join(totals, "p_brand").select("p_partkey", "downloads", "total_downloads")
+
+
+@_query("""
+WITH m AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS f FROM events WINDOW w AS (ORDER BY event_id)),
+r AS (SELECT *, sum(f) OVER (ORDER BY event_id) AS run FROM m),
+l AS (SELECT run, event_type, user_id, max_by(event_id % 1000, event_id) AS downloads FROM r GROUP BY 1, 2, 3)
+SELECT run::BIGINT AS run, event_type, user_id, downloads, sum(downloads) OVER (PARTITION BY run)::BIGINT AS total FROM l""")
+def contiguous_run_totals(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", (F.col("event_id") % 1000).alias("downloads"))
+    return universe.run_totals(rows, "event_id", "event_type", "user_id", "downloads").withColumn("run", F.col("run").cast("long"))
+
+
+@_query("""
+SELECT c_custkey, coalesce(string_agg(v, '|' ORDER BY v), '') AS owners FROM customer
+LEFT JOIN (SELECT DISTINCT o_custkey, lower(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'F') ON o_custkey = c_custkey GROUP BY 1""")
+def owners_set(spark, sf_dir):
+    rows = _t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"), F.lower("o_orderpriority").alias("owner"))
+    sets = universe.sorted_set(rows, "c_custkey", "owner", name="owners")
+    out = universe.with_defaults(_t(spark, sf_dir, "customer").select("c_custkey"), sets, ["c_custkey"], {"owners": F.array().cast("array<string>")})
+    return out.select("c_custkey", F.array_join("owners", "|").alias("owners"))
+
+
+@_query("""
+SELECT p_partkey, coalesce(l_suppkey, -1) AS supplier, CASE WHEN l_suppkey IS NULL THEN 'NoDependent' ELSE 'Dependent' END AS result_type FROM part
+LEFT JOIN (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_linenumber = 7) ON p_partkey = l_partkey""")
+def dependents(spark, sf_dir):
+    uses = _t(spark, sf_dir, "lineitem").where("l_linenumber = 7").select("l_suppkey", F.col("l_partkey").cast("string").alias("package"), "l_partkey")
+    pairs = universe.dependents(uses, "l_suppkey", "package", ["l_partkey"]).select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("supplier"), F.lit("Dependent").alias("result_type"))
+    return universe.with_defaults(_t(spark, sf_dir, "part").select("p_partkey"), pairs, ["p_partkey"], {"supplier": -1, "result_type": "NoDependent"})
+
+
+@_query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') AS is_verified FROM customer")
+def verified_flags(spark, sf_dir):
+    named = _t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    return universe.flagged(_t(spark, sf_dir, "customer").select("c_custkey"), named, "c_custkey", "is_verified")
+
+
+@_query("""
+WITH l AS (SELECT DISTINCT c_custkey AS k FROM customer), r AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'),
+a AS (SELECT k FROM l EXCEPT SELECT k FROM r), b AS (SELECT k FROM r EXCEPT SELECT k FROM l)
+SELECT (SELECT count(*) FROM a) AS left_only, (SELECT count(*) FROM b) AS right_only,
+ coalesce((SELECT string_agg(k::VARCHAR, ',' ORDER BY k) FROM (SELECT k FROM a ORDER BY k LIMIT 5)), '') AS left_sample,
+ coalesce((SELECT string_agg(k::VARCHAR, ',' ORDER BY k) FROM (SELECT k FROM b ORDER BY k LIMIT 5)), '') AS right_sample""")
+def set_compare_full_outer(spark, sf_dir):
+    left = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    right = _t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"))
+    out = checks.compare_sets(left, right, "k")
+    return out.select("left_only", "right_only", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("left_sample", "right_sample")])
+
+
+@_query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def subset_check(spark, sf_dir):
+    return checks.missing(_t(spark, sf_dir, "documents"), ["doc_id"], _t(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+
+
+@_query("SELECT count(*) AS n FROM (SELECT DISTINCT unnest([l_partkey, l_suppkey, l_orderkey]) AS k FROM lineitem) WHERE k NOT IN (SELECT p_partkey FROM part)")
+def orphan_count(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey")
+    return checks.missing(lines, ["l_partkey", "l_suppkey", "l_orderkey"], _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")), "k").agg(F.count("*").alias("n"))
+
+
+@_query("""
+SELECT 'customer' AS table_name, count(DISTINCT c_custkey) AS n FROM customer UNION ALL SELECT 'orders', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'lineitem', count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT 'part', count(DISTINCT p_brand) FROM part UNION ALL SELECT 'events', count(DISTINCT user_id) FROM events""")
+def distinct_counts_union(spark, sf_dir):
+    named = {"customer": "c_custkey", "orders": "o_custkey", "lineitem": "l_orderkey", "part": "p_brand", "events": "user_id"}
+    return checks.distinct_counts({t: (_t(spark, sf_dir, t), c) for t, c in named.items()})
+
+
+@_query("""
+WITH v AS (SELECT DISTINCT event_id FROM events), n AS (
+ SELECT * FROM (SELECT event_id FROM v WHERE event_id <= 500 ORDER BY 1 DESC LIMIT 2) UNION SELECT * FROM (SELECT event_id FROM v WHERE event_id >= 500 ORDER BY 1 LIMIT 2))
+SELECT CASE WHEN event_id < 500 THEN 'before' WHEN event_id = 500 THEN 'same' ELSE 'after' END AS label, min(event_id) AS low, max(event_id) AS high FROM n GROUP BY 1""")
+def adjacent_commits(spark, sf_dir):
+    return checks.adjacent(_t(spark, sf_dir, "events").select("event_id"), "event_id", 500)
+
+
+@_query("""
+SELECT coalesce((SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'O'), -1) AS new_max, coalesce((SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'X'), -1) AS old_max,
+ coalesce((SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'O'), -1) > coalesce((SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'X'), -1) AS is_newer""")
+def newness(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders")
+    return checks.newer(orders.where("o_orderstatus = 'O'"), orders.where("o_orderstatus = 'X'"), "o_orderkey", F.lit(-1).cast("long"))
+
+
+@_query("""
+WITH h AS (SELECT c_custkey, c_name, sha256(lower(c_name)) AS d FROM customer)
+SELECT c_custkey, (('0x' || d[15:16] || d[13:14] || d[11:12] || d[9:10] || d[7:8] || d[5:6] || d[3:4] || d[1:2])::UBIGINT % 1000)::INTEGER AS bucket FROM h""")
+def bucket_assign(spark, sf_dir):
+    return _t(spark, sf_dir, "customer").select("c_custkey", scalars.bucket(F.lower("c_name"), 1000).alias("bucket"))
+
+
+@_query("""
+WITH f AS (SELECT doc_id, source, lang, sha256(text) AS d, strlen(text) AS size FROM documents),
+g AS (SELECT *, row_number() OVER (PARTITION BY source, d ORDER BY doc_id) > 1 AS is_duplicate FROM f),
+b AS (SELECT *, coalesce(sum(CASE WHEN is_duplicate THEN 0 ELSE size END) OVER (PARTITION BY source, lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM g),
+k AS (SELECT *, CASE WHEN is_duplicate THEN 0 ELSE least(size, 16384, greatest(0, 16384 - used)) END AS kept FROM b),
+t AS (SELECT *, NOT is_duplicate AND kept < size AS truncated FROM k)
+SELECT doc_id, is_duplicate, kept::BIGINT AS kept_size, truncated, bool_or(truncated) OVER (PARTITION BY source) AS package_truncated FROM t""")
+def content_budget(spark, sf_dir):
+    files = _t(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("size"))
+    return ranks.content_budget(files, ["source"], "lang", ["doc_id"], "size", "digest").select("doc_id", "is_duplicate", "kept_size", "truncated", "package_truncated")
+
+
+@_query("""
+WITH u AS (SELECT url, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host FROM pages)
+SELECT CASE WHEN host = '' THEN 'invalid' ELSE host END AS repo, count(*) AS n, min(url) AS example FROM u GROUP BY 1""")
+def url_repo_summary(spark, sf_dir):
+    host = F.regexp_extract("url", r"^https?://([^/?#:]+)", 1)
+    return _t(spark, sf_dir, "pages").select("url", F.when(host == "", "invalid").otherwise(host).alias("repo")).groupBy("repo").agg(F.count("*").alias("n"), F.min("url").alias("example"))
+
+
+@_query("""
+SELECT o_orderkey, o_custkey FROM orders JOIN (SELECT l_orderkey, min(l_shipdate) AS m FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+WHERE coalesce(o_orderdate, m) >= TIMESTAMP '1997-01-01 00:00:00' ORDER BY coalesce(o_orderdate, m), o_orderkey LIMIT 100""")
+def keyset_page(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    firsts = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    return checks.keyset_page(orders, firsts, "o_orderkey", "l_shipdate", "o_orderdate", _ntz("1997-01-01 00:00:00"), 100).select("o_orderkey", "o_custkey")
+
+
+@_query("SELECT p_partkey, p_name FROM part WHERE NOT (regexp_matches(lower(p_name), '^red ') AND p_size BETWEEN 10 AND 20) AND NOT (regexp_matches(lower(p_name), 'bolt$') AND p_size BETWEEN 30 AND 50)")
+def ignored_filter(spark, sf_dir):
+    return events.without_ignored(_t(spark, sf_dir, "part"), "p_name", "p_size", [("^RED ", 10, 20), ("bolt$", 30, 50)]).select("p_partkey", "p_name")
+
+
+@_query("""
+SELECT bucket FROM (SELECT c_custkey AS bucket, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS last_processed FROM customer)
+WHERE (last_processed IS NULL OR last_processed < 3000) AND bucket <= 400 ORDER BY last_processed ASC NULLS FIRST, bucket LIMIT 50""")
+def stale_buckets(spark, sf_dir):
+    buckets = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("bucket"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("last_processed"))
+    return reprocess.due_buckets(buckets, 3000.0, 400).select("bucket")
+
+
+@_query("""
+SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) n FROM events) WHERE n <= 3""")
+def newest_runs(spark, sf_dir):
+    return reprocess.newest_runs(_t(spark, sf_dir, "events").select("user_id", "event_id"), 3, ["user_id"], "event_id")
+
+
+@_query("""
+WITH o AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_returnflag <> 'N'), n AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_returnflag <> 'A')
+SELECT a, b, 'kept' AS change FROM (SELECT * FROM o INTERSECT SELECT * FROM n) UNION ALL SELECT a, b, 'removed' FROM (SELECT * FROM o EXCEPT SELECT * FROM n) UNION ALL SELECT a, b, 'added' FROM (SELECT * FROM n EXCEPT SELECT * FROM o)""")
+def edge_diff(spark, sf_dir):
+    pairs = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), "l_returnflag")
+    return edges.edge_changes(pairs.where("l_returnflag <> 'N'"), pairs.where("l_returnflag <> 'A'"), ["a", "b"])
+
+
+@_query("""
+SELECT DISTINCT l_suppkey FROM lineitem WHERE l_quantity = 50 AND l_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity = 1 AND l_returnflag = 'N')""")
+def orphan_subjects(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
+    return edges.orphans(lines.where("l_quantity = 50"), lines.where("l_quantity = 1 and l_returnflag = 'N'"), "l_suppkey")
+
+
+@_query("SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k FROM events")
+def json_explode(spark, sf_dir):
+    props = F.from_json("props", "map<string,bigint>")
+    return _t(spark, sf_dir, "events").select("event_id", F.posexplode(props).alias("pos", "name", "k")).where("name = 'k'").select("event_id", "k")
+
+
+@_query("""
+SELECT user_id, count(*) AS n, arg_max(event_type, event_id) AS last_type, min(CASE WHEN event_type = 'purchase' THEN event_id END) AS first_purchase FROM events GROUP BY 1""")
+def catalog_minimums(spark, sf_dir):
+    log = _t(spark, sf_dir, "events")
+    return log.groupBy("user_id").agg(F.count("*").alias("n"), F.max_by("event_type", "event_id").alias("last_type"), F.min(F.when(F.col("event_type") == "purchase", F.col("event_id"))).alias("first_purchase"))
+
+
+@_query("""
+SELECT c_nationkey, bit_or(1 << (CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'AUTOMOBILE' THEN 1 WHEN 'MACHINERY' THEN 2 WHEN 'HOUSEHOLD' THEN 3 ELSE 4 END))::BIGINT AS flags FROM customer GROUP BY 1""")
+def flags_by_key(spark, sf_dir):
+    bit = F.create_map(*[F.lit(x) for pair in (("BUILDING", 1), ("AUTOMOBILE", 2), ("MACHINERY", 4), ("HOUSEHOLD", 8)) for x in pair])[F.col("c_mktsegment")]
+    return _t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.bit_or(F.coalesce(bit, F.lit(16)).cast("long")).alias("flags"))
+
+
+@_query("""
+SELECT page_id, regexp_extract(u, '([^/]*)$', 1) AS file_name, CASE WHEN regexp_extract(regexp_extract(u, '([^/]*)$', 1), '(\\.[^.]*)$', 1) = '' THEN NULL ELSE regexp_extract(regexp_extract(u, '([^/]*)$', 1), '(\\.[^.]*)$', 1) END AS extension,
+ regexp_extract(u, '^([^/]*)/', 1) AS top_folder FROM (SELECT page_id, regexp_replace(url, '^https?://', '') AS u FROM pages) WHERE contains(u, '/')""")
+def path_parts(spark, sf_dir):
+    u = F.regexp_replace("url", "^https?://", "")
+    rows = _t(spark, sf_dir, "pages").select("page_id", u.alias("u")).where(F.contains("u", F.lit("/")))
+    return rows.select("page_id", scalars.file_name(F.col("u")).alias("file_name"), scalars.file_extension(F.col("u")).alias("extension"), scalars.top_folder(F.col("u")).alias("top_folder"))
+
+
+@_query("""
+SELECT e1.user_id, count(*) AS n FROM events e1 JOIN (SELECT user_id, max_by(event_type, event_id) AS last FROM events GROUP BY 1) s ON e1.user_id = s.user_id
+WHERE e1.event_id <= 5000 GROUP BY 1""")
+def as_of_existence(spark, sf_dir):
+    history = _t(spark, sf_dir, "events").select(F.col("user_id").alias("lower_id"), F.col("event_id").alias("created"))
+    return events.version_set_as_of(history, 5000).groupBy(F.col("lower_id").alias("user_id")).agg(F.count("*").alias("n"))
+
+
+@_query("""
+SELECT user_id, event_type, max_by(event_id, event_id) % 3 = 0 AS is_deleted FROM events GROUP BY 1, 2""")
+def version_set(spark, sf_dir):
+    log = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("version"), "event_id")
+    return events.version_set(log, "id", "version", F.col("event_id") % 3 == 0, ["event_id"]).select(F.col("lower_id").cast("long").alias("user_id"), F.col("lower_version").alias("event_type"), "is_deleted")
