@@ -48,7 +48,7 @@ def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,4 +56,39 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op8_spot_signatures, op9_warc_archive, op10_jaccard_join)}
-ORACLES: dict[str, str] = {}
+#: The rest is not expressible in SQL; tests compare them with brute force, exact round trips or held-out labels.
+ORACLES: dict[str, str] = {
+    "op4_source_mixing": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+b AS (SELECT *, len(bin(size)) * 32 + (size >> greatest(len(bin(size)) - 5, 0)) AS band, ('0x' || h[1:2])::INTEGER % 64 AS bucket FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM b GROUP BY source),
+c AS (SELECT *, source_size * 2.0::DOUBLE AS cap FROM s),
+l AS (SELECT *, ((sum(source_size) OVER ()) * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS target, CASE WHEN source_size > 0 THEN least(cap, weight * max(level) OVER ()) / source_size ELSE 0.0::DOUBLE END AS rate,
+  ('0x' || md5(concat_ws('#', '0', source))[1:3])::INTEGER / 4096.0::DOUBLE AS u FROM l),
+r AS (SELECT b.doc_id, b.size, t.source_size, t.target, t.rate, t.u, row_number() OVER (PARTITION BY b.source ORDER BY b.band, b.bucket, b.size, b.h, b.doc_id) AS place FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, (floor(place * rate + u) - floor((place - 1) * rate + u))::BIGINT AS copies FROM r)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM k""",
+    "op7_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(4 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + 2 + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) + 8)::BIGINT AS formatted_chars, false AS rewrites
+FROM c GROUP BY conv_id""",
+    "op9_warc_archive": r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS origin FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT p.page_id, payload_bytes::BIGINT AS payload_bytes, p.payload_digest, CASE WHEN origin <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN origin <> p.page_id THEN origin END AS refers_to FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest AND payload_bytes >= 1000""",
+    "op10_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS s FROM g),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS k FROM e a JOIN e b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c WHERE 100 * k >= 75 * (nx + ny - k)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT g.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id FROM g JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON m.x = g.doc_id""",
+}
