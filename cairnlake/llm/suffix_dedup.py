@@ -137,6 +137,9 @@ def _by_bucket(bucket: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
 def _firsts(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first anchor of each class of equal stretches, and all others; sorted by gram."""
     entries = entries[np.lexsort((entries["start"], entries["sign"], entries["doc"], entries["stretch"], entries["gram"]))]
+    twice = np.zeros(len(entries), bool)  # rows given repeatedly are one document
+    twice[1:] = np.logical_and.reduce([entries[c][1:] == entries[c][:-1] for c in ("start", "sign", "doc", "stretch", "gram")])
+    entries = entries[~twice]
     same = np.zeros(len(entries), bool)
     same[1:] = (entries["gram"][1:] == entries["gram"][:-1]) & (entries["stretch"][1:] == entries["stretch"][:-1])
     return entries[~same], entries[same]
