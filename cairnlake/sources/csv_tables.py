@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairnlake.functions.scalars import bucket
 from cairnlake.plans.registry import TableSpec
@@ -23,7 +24,7 @@ def read_csv(spark: SparkSession, spec: TableSpec, path: str, buckets: list[int]
     columns do not evolve. Empty text columns are empty, other empty columns null."""
     schema = spec.text_schema
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False).option("mode", "FAILFAST").option("emptyValue", "")
-    df = raw.schema(schema.add("bucket", "int")).csv(path)
+    df = raw.schema(schema.add("bucket", T.IntegerType())).csv(path)
     if buckets is not None:
         df = df.where(F.col("bucket").isin(buckets))
     text = {f.name for f in spec.schema if f.dataType.simpleString() == "string"}
