@@ -22,32 +22,35 @@ CHAIN = 3
 BLOCK_IDS = 1024
 
 _MARK = "\u0001"
-_ANCHORS = " (?:(?:" + "|".join(sorted(set(COMMON_WORDS))) + ") )+"
 
 
-def content_words(text: Column) -> Column:
-    """Content words in order; those right after common words carry a mark."""
-    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
-    marked = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), _ANCHORS, f" {_MARK}")
-    return F.filter(F.split(F.trim(marked), " +"), lambda w: (w != "") & (w != _MARK))
+def content_words(words: Column) -> Column:
+    """Of the words of a text, the content words in order; those right after common words carry a mark."""
 
+    def marked(word: Column, i: Column) -> Column:
+        after = (i > 0) & F.get(words, i - 1).isin(COMMON_WORDS)
+        return F.when(word.isin(["", *COMMON_WORDS]), F.lit("")).when(after, F.concat(F.lit(_MARK), word)).otherwise(word)
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """The distinct signatures of a text as 32-bit hashes, in order."""
-    return _signatures_of(content_words(text), chain)
+    return F.array_remove(F.transform(words, marked), "")
 
 
-def _signatures_of(words: Column, chain: int) -> Column:
-    bare = lambda w: F.translate(w, _MARK, "")
+def spots(words: Column, chain: int = CHAIN) -> Column:
+    """The distinct signatures of marked content words as 32-bit hashes, in order."""
     last = F.size(words) - chain
 
     def spot(word: Column, i: Column) -> Column:
         rest = [F.get(words, i + k) for k in range(1, chain)]
-        return F.when(word.startswith(_MARK) & (i <= last), F.hash(bare(F.concat_ws(" ", word, *rest))))
+        return F.when(word.startswith(_MARK) & (i <= last), F.hash(F.translate(F.concat_ws(" ", word, *rest), _MARK, "")))
 
-    spots = F.array_sort(F.array_distinct(F.array_compact(F.transform(words, spot))))
-    whole = F.when(F.size(words) > 0, F.array(F.hash(bare(F.array_join(words, " "))))).otherwise(F.array().cast("array<int>"))
-    return F.when(F.size(spots) > 0, spots).otherwise(whole)
+    return F.sort_array(F.array_distinct(F.array_compact(F.transform(words, spot))))
+
+
+def with_signatures(df: DataFrame, text_col: str, name: str, chain: int = CHAIN) -> DataFrame:
+    """df with the signatures of a text column. Each step is a column of its own, so nothing is computed twice."""
+    df = df.withColumn("__all", F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"))
+    df = df.withColumn("__words", content_words(F.col("__all"))).withColumn("__spots", spots(F.col("__words"), chain))
+    whole = F.when(F.size("__words") > 0, F.array(F.hash(F.translate(F.array_join("__words", " "), _MARK, "")))).otherwise(F.array().cast("array<int>"))
+    return df.withColumn(name, F.when(F.size("__spots") > 0, F.col("__spots")).otherwise(whole)).drop("__all", "__words", "__spots")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -71,11 +74,11 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), lowest).alias("id"), F.col(id_col).alias("own"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = rows.withColumn("block", F.shiftright("id", BLOCK_IDS.bit_length() - 1))
     tops = rows.groupBy("block").agg(F.max("id").alias("top"))
-    order = Window.orderBy(F.desc("block"))
+    order = Window.orderBy(F.desc("block"))  # one row for each BLOCK_IDS ids
     after = tops.select("block", F.coalesce(F.lead("top").over(order), F.max("top").over(Window.partitionBy())).alias("top"))
     guests = rows.drop("block").join(after, F.col("id") == F.col("top")).select("id", "own", "text", "block", F.lit(True).alias("guest"))
     both = rows.select("id", "own", "text", "block", F.lit(False).alias("guest")).unionByName(guests).repartition("block")
-    both = both.withColumn("words", content_words(F.col("text"))).withColumn("sigs", _signatures_of(F.col("words"), CHAIN)).drop("words")
+    both = with_signatures(both, "text", "sigs")
     by = Window.partitionBy("block").orderBy("guest", F.desc("id"), "text")
     both = both.withColumn("next_text", F.lead("text").over(by)).withColumn("next_sigs", F.lead("sigs").over(by))
     return both.where(~F.col("guest")).select(F.col("own").alias("id"), "text", "sigs", "next_text", "next_sigs")
@@ -88,7 +91,7 @@ def compare_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     rows = rows.withColumn("edited", edited)
-    rows = rows.withColumn("words", content_words(F.col("edited"))).withColumn("edited_sigs", _signatures_of(F.col("words"), CHAIN))
+    rows = with_signatures(rows, "edited", "edited_sigs")
     return rows.select(
         F.col("id").alias(id_col), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         digest(F.col("sigs")).alias("fingerprint"), digest(F.col("edited_sigs")).alias("edited_fingerprint"),
@@ -104,7 +107,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.75, id_col: str = "doc_i
     one threshold wide, and meet through the rarest signatures of their sets: similar sets share one of the
     first |A| - ceil(t |A|) + 1. Pairs whose lengths or positions rule a match out are pruned before the sets
     are compared. Null ids and texts without words are left out."""
-    rows = df.select(F.col(id_col).alias("id"), signatures(F.coalesce(F.col(text_col), F.lit(""))).alias("sigs")).where("id is not null and size(sigs) > 0")
+    texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = with_signatures(texts, "text", "sigs").where("id is not null and size(sigs) > 0").select("id", "sigs")
     classes = rows.groupBy("sigs").agg(F.min("id").alias("rep"))
     members = rows.join(classes, "sigs").select(F.col("id").alias(id_col), "rep")
     sized = classes.withColumn("size", F.size("sigs")).withColumn("band", F.floor(-F.log(F.col("size").cast("double")) / F.log(F.lit(threshold))))
