@@ -12,11 +12,12 @@ def compare_sets(left: DataFrame, right: DataFrame, column: str, shown: int = 5)
     """One row: how many values only one side has, and the smallest few of them. The samples are bounded."""
     l, r = left.select(column).distinct().withColumn("l", F.lit(1)), right.select(column).distinct().withColumn("r", F.lit(1))
     odd = l.join(r, column, "full_outer").where("l is null or r is null")
-    sides = odd.agg(F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
-    for name, side in (("left_sample", "r"), ("right_sample", "l")):
-        few = odd.where(F.col(side).isNull()).select(column).orderBy(column).limit(shown)
-        sides = sides.crossJoin(few.agg(F.array_sort(F.collect_list(column)).alias(name)))  # one row each
-    return sides
+    parts = odd.agg(F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
+    for name, side in (("left", "r"), ("right", "l")):
+        few = odd.where(F.col(side).isNull()).select(F.col(column).alias(name)).orderBy(name).limit(shown)
+        parts = parts.unionByName(few, allowMissingColumns=True)
+    sample = lambda name: F.array_sort(F.collect_list(name)).alias(f"{name}_sample")  # noqa: E731  a few rows at most
+    return parts.agg(F.max("left_only").alias("left_only"), F.max("right_only").alias("right_only"), sample("left"), sample("right"))
 
 
 def missing(rows: DataFrame, columns: list[str], reference: DataFrame, key: str) -> DataFrame:
@@ -40,8 +41,8 @@ def adjacent(df: DataFrame, at: str, value) -> DataFrame:
 
 def newer(new: DataFrame, old: DataFrame, at: str, default) -> DataFrame:
     """(new_max, old_max, is_newer); an empty table counts with the default."""
-    top = lambda df, name: df.agg(F.coalesce(F.max(at), F.lit(default)).alias(name))
-    both = top(new, "new_max").crossJoin(top(old, "old_max"))  # one row each
+    both = new.agg(F.max(at).alias("new_max")).unionByName(old.agg(F.max(at).alias("old_max")), allowMissingColumns=True)
+    both = both.agg(*[F.coalesce(F.max(c), F.lit(default)).alias(c) for c in ("new_max", "old_max")])
     return both.withColumn("is_newer", F.col("new_max") > F.col("old_max"))
 
 
