@@ -126,8 +126,8 @@ _SPECS = [
         "PackageCompatibilities", ['Identity'], "Identity", PACKAGE_PREFIX,
         "ResultType string NOT NULL, HasError boolean NOT NULL, DoesNotRoundTrip boolean NOT NULL, HasAny boolean NOT "
         "NULL, HasUnsupported boolean NOT NULL, HasAgnostic boolean NOT NULL, BrokenFrameworks string, NuspecReader "
-        "string, NU1202 string, NuGetGallery string, NuGetGalleryEscaped string, NuGetGallerySupported string, "
-        "NuGetGalleryBadges string",
+        "string, NU1202 string, Gallery string, GalleryEscaped string, GallerySupported string, "
+        "GalleryBadges string",
     ),
     TableSpec(
         "PackageContents", ['Identity', 'SequenceNumber'], "Identity", PACKAGE_PREFIX,
