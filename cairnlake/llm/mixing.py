@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cairnlake.llm.common import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 
@@ -53,8 +55,9 @@ def mix(df: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", te
     rows = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), *kept)
     rows = rows.withColumn("digest", digest).withColumn("band", (bits * 32 + top).cast("int")).withColumn("bucket", F.conv(F.substring("digest", 1, 2), 16, 10).cast("int") % 64)
     cell = ["source", "band", "bucket"]
-    rows = rows.repartition(*cell)
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    if not keep:
+        rows = written(rows)  # narrow rows: texts are read once
+    cells = written(rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     bands = cells.groupBy("source", "band").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     totals = targets(bands.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     up_to = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
