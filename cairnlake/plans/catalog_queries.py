@@ -5,11 +5,15 @@ lineitem for rows to merge, documents and pages for package contents."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import scalars
 from cairnlake.operators import checks, edges, events, merge, ranks, reprocess, universe
+from cairnlake.streaming import incremental
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -319,3 +323,21 @@ SELECT user_id, event_type, max_by(event_id, event_id) % 3 = 0 AS is_deleted FRO
 def version_set(spark, sf_dir):
     log = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("version"), "event_id")
     return events.version_set(log, "id", "version", F.col("event_id") % 3 == 0, ["event_id"]).select(F.col("lower_id").cast("long").alias("user_id"), F.col("lower_version").alias("event_type"), "is_deleted")
+
+
+@_query(ORACLES["latest_event_per_key"])
+def catalog_stream(spark, sf_dir):
+    """The latest event of each key, kept by a stream over the event files, as a batch finds it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="cairnlake-")
+    root = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    schema = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").withColumn("at", F.struct("ts", "event_id"))
+    run = incremental.merge_latest_stream(stream, f"{root}/t", f"{root}/cp", ["user_id", "event_type"], "at")
+    run.awaitTermination()
+    versions = spark.read.parquet(f"{root}/t")
+    last = versions.agg(F.max("v")).first()[0]
+    return versions.where(F.col("v") == last).select("user_id", "event_type", "event_id", "value")
