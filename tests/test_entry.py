@@ -30,3 +30,10 @@ def test_query_equals_its_sql(spark, duck, name):
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_tables_without_rows(spark, tmp_path):
+    for table in TABLES:
+        spark.read.parquet(f"{SF}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
+    for name in ("latest_event_per_key", "rank_and_latest_flags", "content_budget", "set_compare_full_outer", "totals_with_universe"):
+        assert entry.queries()[name](spark, str(tmp_path)).count() in (0, 1)
