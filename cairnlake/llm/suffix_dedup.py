@@ -349,6 +349,11 @@ def _sort_suffixes(fetched: DataFrame) -> DataFrame:
         ask, data, owner = np.concatenate(asks), np.concatenate(cuts), np.concatenate(owners)
         windows = ask["windows"].astype(np.int64)
         base = np.cumsum(windows + LENGTH - 1) - (windows + LENGTH - 1)
+        # a row given repeatedly answers every ask again: only one answer counts
+        order = np.lexsort((ask["start"], ask["sign"], owner, ask["gram"]))
+        twice = np.zeros(len(ask), bool)
+        twice[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (ask["start"], ask["sign"], owner, ask["gram"])])
+        ask, owner, windows, base = (x[~twice] for x in (ask, owner, windows, base))
         entry = np.repeat(np.arange(len(ask)), windows)
         step = ragged(np.zeros(len(ask), np.int64), windows)
         gram, lead = ask["gram"][entry], ask["lead"][entry].astype(np.int64) - step

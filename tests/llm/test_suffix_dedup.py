@@ -58,6 +58,17 @@ def test_null_and_repeated_ids(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_repeated_rows_keep_what_occurs_first(spark):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = prose(300)
+    rows = [(5, prose(200) + shared + prose(200)), (7, prose(150) + shared + prose(150)), (9, prose(90) + shared[:180] + prose(200))]
+    rows.append((11, rows[0][1][:250] + "X" + rows[0][1][251:]))
+    df = spark.createDataFrame([rows[0], rows[0], rows[1], rows[1], rows[1], *rows[2:]], "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {(i, *row) for i, row in brute(rows).items()}
+
+
 def test_suffix_sort_orders_like_bytes():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
