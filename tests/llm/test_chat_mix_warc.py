@@ -104,3 +104,13 @@ def test_loser_tree_merges_runs():
 def test_sizes_count_words_like_the_contract(spark):
     df = spark.createDataFrame([(" a b\x1cc d\x0be ",)], "text string")
     assert df.select(mixing.word_count(F.col("text"))).first()[0] == 3
+
+
+def test_templates_that_look_far_back():
+    turns = [("user" if i % 2 else "assistant", f"text {i}") for i in range(100)]
+    last = lambda t: chat.marked_turns(t[-40:])
+    got = chat.format_turns(last, turns)
+    assert got.rewrites and got.text == last(turns)
+    first = lambda t: "".join(f"<{t[0][1] if k >= 50 else ''}|{text}>" for k, (_, text) in enumerate(t))
+    got = chat.format_turns(first, turns)
+    assert got.text == first(turns) and [got.text[a:b] for a, b in got.contents[1:]] == [text for _, text in turns[1:]]
