@@ -1,28 +1,33 @@
-"""Byte-level BPE encoding and decoding by replaying the merge list over a whole block of text.
+"""Byte-level BPE encoding and decoding by replaying the merge list over the words of the whole corpus.
 
-Each task takes its partition in blocks, finds the distinct pre-tokens of a block, lays their bytes out in
-one symbol array and keeps an inverted index from pair rank to the positions of that pair. The merges
-are then applied in rank order over all words at once: the positions of the lowest pending rank are
-merged, and only the neighbours that a merge touched are looked up again and re-indexed. The ids of
-a text are its words' ids in turn. A worker remembers a bounded number of words that it has replayed.
-No shuffle is needed and memory follows the block size."""
+Documents are shuffled once into blocks by a hash. Each block lists its distinct pre-tokens, which meet by a hash
+of theirs: a task gets one part of all distinct words of the corpus, lays their bytes out in one symbol array and
+keeps an inverted index from pair rank to the word positions of that pair. The merges are applied in rank order
+over all words at once: the positions of the lowest pending rank are merged, and only the neighbours that a
+merge touched are looked up again and re-indexed. The ids of the words go back to the blocks that hold them,
+where the ids of a text are its words' ids in turn. A common word is replayed once, not once in each block."""
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cairnlake.llm.common import ragged, text_blocks, text_bytes
+from cairnlake.llm.common import mix64, ragged, shuffle_partitions, small_batches, text_blocks, text_bytes
 from cairnlake.llm.pairs import NONE, Vocabulary, ranked_bytes
+from cairnlake.llm.rolling import prefix_hash, range_hash
 from cairnlake.llm.segments import spaced_starts
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Blocks of documents for each shuffle partition; a block lists its own words.
+BLOCKS = 2
 
 
 class _Pending:
@@ -121,48 +126,102 @@ def _leftmost(at: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.array(sorted(taken), at.dtype)
 
 
-class _Known:
-    """Words that this worker has replayed, with their ids; beyond a fixed size it learns no more."""
+def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The pre-tokens of the texts of a block, which cover every byte, and where each starts."""
+    starts = spaced_starts(data, offsets)
+    cuts = np.append(starts, len(data)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)]), starts
 
-    MOST_WORDS, MOST_BYTES = 400_000, 8 << 20
 
-    def __init__(self) -> None:
-        self.words: pa.Array = pa.array([], pa.binary())
-        self.ids = np.zeros(0, np.int32)
-        self.offsets = np.zeros(1, np.int64)
+def _word_rows(block: int, words: pa.Array, buckets: int) -> pa.Table:
+    """The words of a block of documents, packed in one row for each bucket that they fall into."""
+    data, offsets = _binary(words)
+    prefix = prefix_hash(data)
+    bucket = mix64(range_hash(prefix, offsets[:-1], offsets[1:])) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some = np.flatnonzero(at[1:] > at[:-1])
+    packs = [_packed(words.take(pa.array(order[at[k] : at[k + 1]]))) for k in some]
+    return pa.table([pa.array(some, pa.int64()), pa.array(np.full(len(some), block, np.int64)), pa.array(packs, pa.binary())], ["bucket", "block", "words"])
+
+
+def _packed(words: pa.Array) -> bytes:
+    data, offsets = _binary(words)
+    return zstandard.ZstdCompressor(level=1).compress(len(words).to_bytes(8, "little") + np.diff(offsets).astype("<u4").tobytes() + data.tobytes())
+
 
-    def ids_of(self, words: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Flat ids, and for each word where its ids start and how many there are."""
-        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        new = np.flatnonzero(at < 0)
-        fresh = words.take(pa.array(new))
-        ids, offsets = replay(*_binary(fresh), vocabulary)
-        at[new] = len(self.words) + np.arange(len(new))
-        ids = np.concatenate([self.ids, ids])
-        offsets = np.concatenate([self.offsets, offsets[1:] + self.offsets[-1]])
-        known = pa.concat_arrays([self.words, fresh])
-        if len(known) <= self.MOST_WORDS and known.nbytes <= self.MOST_BYTES:
-            self.words, self.ids, self.offsets = known, ids, offsets
-        return ids, offsets[at], offsets[at + 1] - offsets[at]
+def _unpacked(pack: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and bytes of packed words."""
+    plain = zstandard.ZstdDecompressor().decompress(pack)
+    n = int.from_bytes(plain[:8], "little")
+    return np.frombuffer(plain, "<u4", n, 8), np.frombuffer(plain, np.uint8, offset=8 + 4 * n)
 
 
-_known: dict[int, _Known] = {}
+def _word_array(packs: list[bytes]) -> tuple[pa.Array, list[int]]:
+    """All words of some packs as one array, and how many each pack has."""
+    parts = [_unpacked(p) for p in packs]
+    lengths = np.concatenate([n for n, _ in parts] or [np.zeros(0, np.uint32)])
+    data = np.concatenate([d for _, d in parts] or [np.zeros(0, np.uint8)])
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), [len(n) for n, _ in parts]
+
+
+def _replayed(table: pa.Table, vocabulary: Vocabulary) -> pa.Table:
+    """The words of one bucket from all blocks of the corpus: every distinct word is replayed once, and each block
+    gets back the ids of its words."""
+    words, sizes = _word_array(table["words"].to_pylist())
+    coded = words.dictionary_encode()
+    ids, offsets = replay(*_binary(coded.dictionary), vocabulary)
+    index = coded.indices.to_numpy()
+    width = np.diff(offsets)[index]
+    flat = ids[ragged(offsets[:-1][index], width)].astype("<u4")
+    ends = np.concatenate([[0], np.cumsum(width)])
+    packs, row = [], 0
+    for n in sizes:
+        packs.append(zstandard.ZstdCompressor(level=1).compress(width[row : row + n].astype("<u4").tobytes() + flat[ends[row] : ends[row + n]].tobytes()))
+        row += n
+    return pa.table([table["block"], table["words"], pa.array(packs, pa.binary())], ["block", "words", "ids"])
+
+
+class WordIds:
+    """The ids of a set of words."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, width: np.ndarray) -> None:
+        self.words, self.ids, self.width = words, ids, width
+        self.at = np.cumsum(width) - width
+
+    @staticmethod
+    def of(packs: list[bytes], coded: list[bytes]) -> WordIds:
+        words, sizes = _word_array(packs)
+        widths, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+        for n, pack in zip(sizes, coded):
+            plain = zstandard.ZstdDecompressor().decompress(pack)
+            widths.append(np.frombuffer(plain, "<u4", n))
+            ids.append(np.frombuffer(plain, "<u4", offset=4 * n))
+        return WordIds(words, np.concatenate(ids).astype(np.int32), np.concatenate(widths).astype(np.int64))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of every text of a block, and the offsets of the texts into them."""
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        tokens, starts = pre_tokens(data, offsets)
+        coded = tokens.dictionary_encode()
+        known = pc.index_in(coded.dictionary, value_set=self.words)
+        if known.null_count:
+            raise ValueError("a text changed between the two passes over it")
+        index = known.to_numpy()[coded.indices.to_numpy()]
+        width = self.width[index]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        return self.ids[ragged(self.at[index], width)], ends[np.searchsorted(starts, offsets)]
 
 
 def encode_block(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of every text of a block, and the offsets of the texts into them."""
+    """The ids of every text of a block that is a corpus of its own, and the offsets of the texts into them."""
     if not len(data):
         return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-    starts = spaced_starts(data, offsets)
-    cuts = np.append(starts, len(data)).astype(np.int32)
-    tokens = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
-    coded = tokens.dictionary_encode()
-    ids, word_at, word_width = _known.setdefault(id(vocabulary), _Known()).ids_of(coded.dictionary, vocabulary)
-    index = coded.indices.to_numpy()
-    width = word_width[index]
-    out = ids[ragged(word_at[index], width)]
-    ends = np.concatenate([[0], np.cumsum(width)])
-    return out, ends[np.searchsorted(starts, offsets)]
+    words = pre_tokens(data, offsets)[0].dictionary_encode().dictionary
+    ids, ends = replay(*_binary(words), vocabulary)
+    return WordIds(words, ids, np.diff(ends)).encode(data, offsets)
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -176,42 +235,65 @@ def decode_ids(ids: np.ndarray, vocabulary: Vocabulary) -> bytes:
     return vocabulary.token_bytes[ragged(starts, vocabulary.token_offsets[ids + 1] - starts)].tobytes()
 
 
+def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Vocabulary], list[pa.Array]], fields: str) -> DataFrame:
+    """(id_col, fields) of every row: finish gets the bytes and ids of some texts, each with their offsets."""
+    n = shuffle_partitions(df.sparkSession)
+    small_batches(df.sparkSession)
+    kind = df.schema[id_col].dataType.simpleString()
+    names = [f.split()[0] for f in fields.split(", ")]
+    documents = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
+    documents = documents.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n * BLOCKS)))
+    documents = documents.repartition(n, "block")  # both uses share this shuffle
+
+    def words_of(table: pa.Table) -> pa.Table:
+        seen = [pa.array([], pa.binary())]
+        for part in text_blocks(iter(table.to_batches()), "text", BLOCK_BYTES):
+            data, offsets = text_bytes(part["text"])
+            if len(data):
+                seen.append(pre_tokens(data, offsets)[0].dictionary_encode().dictionary)
+        words = pa.concat_arrays(seen).dictionary_encode().dictionary
+        return _word_rows(table["block"][0].as_py(), words, n)
+
+    def replay_bucket(table: pa.Table) -> pa.Table:
+        return _replayed(table, ranked_bytes(path))
+
+    def encode_rows(texts: pa.Table, coded: pa.Table) -> pa.Table:
+        vocabulary = ranked_bytes(path)
+        known = WordIds.of(coded["words"].to_pylist(), coded["ids"].to_pylist())
+        rows = []
+        for part in text_blocks(iter(texts.to_batches()), "text", BLOCK_BYTES):
+            data, offsets = text_bytes(part["text"])
+            ids, ends = known.encode(data, offsets)
+            rows.append(pa.table([part["id"], *finish(data, offsets, ids, ends, vocabulary)], ["id", *names]))
+        return pa.concat_tables(rows)
+
+    words = documents.groupBy("block").applyInArrow(words_of, "bucket bigint, block bigint, words binary")
+    coded = words.groupBy("bucket").applyInArrow(replay_bucket, "block bigint, words binary, ids binary")
+    out = documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(encode_rows, f"id {kind}, {fields}")
+    return out.select(F.col("id").alias(id_col), *names)
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>, n_tokens, restored) of every row; restored says that decoding the ids gives the
-    text's bytes again. Null and empty texts have no ids. Row order, repeated rows and null ids pass through;
-    other columns are left out."""
+    text's bytes again. Null and empty texts have no ids. Repeated rows and null ids pass through; other columns
+    are left out."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = ranked_bytes(path)
-        for block in text_blocks(batches, "_text", BLOCK_BYTES):
-            data, offsets = text_bytes(block["_text"])
-            ids, ends = encode_block(data, offsets, vocabulary)
-            for a in range(0, block.num_rows, 1024):
-                b = min(a + 1024, block.num_rows)
-                part = ids[ends[a] : ends[b]]
-                lists = pa.ListArray.from_arrays(pa.array((ends[a : b + 1] - ends[a]).astype(np.int32)), pa.array(part))
-                restored = [decode_ids(ids[ends[i] : ends[i + 1]], vocabulary) == data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
-                own = block["_id"].slice(a, b - a).combine_chunks()
-                yield pa.RecordBatch.from_arrays([own, lists, pa.array(np.diff(ends[a : b + 1])), pa.array(restored)], [id_col, "ids", "n_tokens", "restored"])
+    def finish(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary) -> list[pa.Array]:
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        restored = [decode_ids(ids[ends[i] : ends[i + 1]], vocabulary) == data[offsets[i] : offsets[i + 1]].tobytes() for i in range(len(offsets) - 1)]
+        return [lists, pa.array(np.diff(ends)), pa.array(restored, pa.bool_())]
 
-    source = df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids array<int>, n_tokens bigint, restored boolean")
+    return _over_corpus(df, path, id_col, text_col, finish, "ids array<int>, n_tokens bigint, restored boolean")
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every text and decodes its ids again: (id_col, n_tokens, ids_sha256 over little-endian
     32-bit ids, decoded_sha256). Null texts count as empty; repeated rows and null ids pass through."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = ranked_bytes(path)
-        for block in text_blocks(batches, "_text", BLOCK_BYTES):
-            ids, ends = encode_block(*text_bytes(block["_text"]), vocabulary)
-            coded, decoded = [], []
-            for a, b in zip(ends.tolist(), ends.tolist()[1:]):
-                part = ids[a:b]
-                coded.append(hashlib.sha256(part.astype("<u4")).hexdigest())
-                decoded.append(hashlib.sha256(decode_ids(part, vocabulary)).hexdigest())
-            yield pa.RecordBatch.from_arrays([block["_id"].combine_chunks(), pa.array(np.diff(ends)), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    source = df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def finish(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary) -> list[pa.Array]:
+        parts = [ids[a:b] for a, b in zip(ends.tolist(), ends.tolist()[1:])]
+        coded = [hashlib.sha256(p.astype("<u4")).hexdigest() for p in parts]
+        decoded = [hashlib.sha256(decode_ids(p, vocabulary)).hexdigest() for p in parts]
+        return [pa.array(np.diff(ends)), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+
+    return _over_corpus(df, path, id_col, text_col, finish, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

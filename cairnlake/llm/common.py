@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,26 +25,49 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which every executor can reach.
 
-    Where the setting is missing, local masters get a temporary folder; a cluster is refused, because
-    its machines do not share one."""
+    Where the setting is missing, a session whose executors run in the driver's own process, as in tests, gets a
+    temporary folder as its setting; any cluster is refused, because its machines do not share one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cairnlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Folders of the tables written so far, for release().
+_folders: list[str] = []
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends there, and a lost
-    executor costs no recomputation of what lies before."""
+    executor costs no recomputation of what lies before. The table stays until release()."""
     spark = df.sparkSession
-    path = path or shared_dir(spark)
+    if path is None:
+        path = shared_dir(spark)
+        _folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Deletes the tables that written() made, but for the last `keep`. Results that were not consumed yet read
+    from these tables, so call it when they have been."""
+    old = _folders[: len(_folders) - keep]
+    del _folders[: len(old)]
+    for path in old:
+        drop_path(spark, path)
+
+
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Bounds the Arrow batches of the session by bytes: rows are texts and archives of any length, and a
+    worker and its executor each hold a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.match(r"-?\d+", spark.conf.get(name))[0]) != most:
+        spark.conf.set(name, str(most))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -112,21 +136,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in the undirected edges (src, dst); component is the smallest id
     that can be reached.
 
     Alternating star contraction: every round links the larger neighbours of a node, then the smaller
     ones, to its smallest neighbour. A round is two aggregations with map-side combine and two joins
     that adaptive execution may split, so a hub costs no single task its whole neighbourhood. Each
-    round is written to the shared folder, and earlier rounds are deleted."""
+    round is written to the shared folder, and earlier rounds are deleted. Rounds go on until one changes
+    nothing; their number grows with the logarithm of the edges, whatever their shape."""
     spark = edges.sparkSession
     path = shared_dir(spark)
     now = written(_oriented(edges), path)
     mark = _mark(now)
-    for _ in range(most_rounds):
-        if mark[0] == 0:
-            break
+    while mark[0]:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -143,6 +166,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         path, before, mark = next_path, mark, _mark(now)
         if mark == before:
             break
+    _folders.append(path)
     # every node is now linked straight to the smallest of its component, or is that node
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionAll(roots)

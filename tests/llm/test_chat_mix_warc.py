@@ -17,7 +17,7 @@ def test_marked_turns_read_back():
 def test_spans_of_a_black_box():
     turns = [("user", "hi"), ("assistant", "</turn> x"), ("assistant", ""), ("user", "hi")] * 20
     made = chat.format_turns(chat.marked_turns, turns)
-    assert made.text == chat.marked_turns(turns) and not made.rewrites and len(turns) > chat.CHUNK_TURNS
+    assert made.text == chat.marked_turns(turns) and not made.rewrites
     assert [chat.unescape(made.text[a:b]) for a, b in made.contents] == [t for _, t in turns]
     assert "".join(made.text[a:b] for a, b in made.spans) == made.text
 
@@ -114,3 +114,19 @@ def test_templates_that_look_far_back():
     first = lambda t: "".join(f"<{t[0][1] if k >= 50 else ''}|{text}>" for k, (_, text) in enumerate(t))
     got = chat.format_turns(first, turns)
     assert got.text == first(turns) and [got.text[a:b] for a, b in got.contents[1:]] == [text for _, text in turns[1:]]
+    blank = lambda t: "".join(f"<{'' if k < len(t) - 34 else text}>" for k, (_, text) in enumerate(t))
+    got = chat.format_turns(blank, turns)
+    assert got.rewrites and got.text == blank(turns)
+
+
+def test_text_with_every_private_character():
+    text = "".join(map(chr, range(0xE000, 0xF900)))
+    for t in (text, text + "#<", "\ue001"):
+        made = chat.format_turns(chat.marked_turns, [("user", "x"), ("assistant", t), ("user", t)])
+        assert [chat.unescape(made.text[a:b]) for a, b in made.contents] == ["x", t, t] and not made.rewrites
+
+
+def test_one_long_conversation():
+    turns = [("user" if i % 2 else "assistant", "t" * (i % 50)) for i in range(400)]
+    made = chat.format_turns(chat.marked_turns, turns)
+    assert made.text == chat.marked_turns(turns) and "".join(made.text[a:b] for a, b in made.spans) == made.text
