@@ -136,20 +136,32 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def smallest_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n numbered points, the smallest that the pairs (i, j) reach."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        before = label.copy()
+        np.minimum.at(label, before[i], low)
+        np.minimum.at(label, before[j], low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in the undirected edges (src, dst); component is the smallest id
     that can be reached.
 
     Alternating star contraction: every round links the larger neighbours of a node, then the smaller
     ones, to its smallest neighbour. A round is two aggregations with map-side combine and two joins
-    that adaptive execution may split, so a hub costs no single task its whole neighbourhood. Each
-    round is written to the shared folder, and earlier rounds are deleted. Rounds go on until one changes
-    nothing; their number grows with the logarithm of the edges, whatever their shape."""
+    that adaptive execution may split, so a hub costs no single task its whole neighbourhood; before it is
+    written, each task also ties together what its own share of the edges reaches. Earlier rounds are
+    deleted. Rounds go on until every node is linked to the smallest of its component alone."""
     spark = edges.sparkSession
     path = shared_dir(spark)
-    now = written(_oriented(edges), path)
-    mark = _mark(now)
-    while mark[0]:
+    now = written(_contracted(_oriented(edges)), path)
+    while not _are_stars(now):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -159,24 +171,39 @@ def components(edges: DataFrame) -> DataFrame:
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         small = star.join(low, "u")
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        step = _oriented(small.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        step = _contracted(_oriented(small.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
         next_path = shared_dir(spark)
         now = written(step, next_path)
         drop_path(spark, path)
-        path, before, mark = next_path, mark, _mark(now)
-        if mark == before:
-            break
+        path = next_path
     _folders.append(path)
-    # every node is now linked straight to the smallest of its component, or is that node
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionAll(roots)
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(roots)
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """A small fingerprint of an edge set, to see when a round changes nothing."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(h), F.lit(0)), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0))).first())
+def _contracted(edges: DataFrame) -> DataFrame:
+    """What the edges of each partition reach, as stars around the smallest ids; a partition is bounded by the
+    session's advisory size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        u, v = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1))
+        ids, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+        label = smallest_reachable(len(ids), place[: len(u)], place[len(u) :])
+        tied = np.flatnonzero(label != np.arange(len(ids)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(ids[label[tied]])], ["u", "v"])
+
+    return edges.hint("rebalance", "v").mapInArrow(run, "u bigint, v bigint")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    odd = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
+    return not odd.take(1)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairnlake.llm.common import components, mix64, shuffle_partitions, written
+from cairnlake.llm.common import components, mix64, shuffle_partitions, smallest_reachable, written
 
 TABLES, BLOCKS, PROBES = 6, 2, 2
 SCALE = 2.0
@@ -167,14 +167,7 @@ def _meetings(tiles: DataFrame, threshold: float) -> DataFrame:
         counts = np.bincount(i, weight[j], len(members)) + np.bincount(j, weight[i], len(members))
         some = np.flatnonzero(counts)
         yield own[some], None, counts[some].astype(np.int64)
-        label = np.arange(len(members))
-        while True:  # the smallest reachable row of the tile, by repeated minimum
-            before = label.copy()
-            np.minimum.at(label, i, label[j])
-            np.minimum.at(label, j, label[i])
-            label = label[label]
-            if (label == before).all():
-                break
+        label = smallest_reachable(len(members), i, j)
         tied = np.flatnonzero(label != np.arange(len(members)))
         yield own[tied], own[label[tied]], None
 
