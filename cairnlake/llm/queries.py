@@ -13,7 +13,7 @@ from cairnlake.llm.common import table
 def op1_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
-    return toxicity.score(documents, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "toxic_neighbours", "evidence")
+    return toxicity.score(documents, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "toxic_neighbours", "terms", "evidence")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,12 +57,52 @@ def test_block_search_is_exact():
         norm = sum(x * x for x in v.values()) ** 0.5
         vectors.append({t: x / norm for t, x in v.items()})
     labels = rng.integers(0, 2, 500).astype(float)
-    index = toxicity.Postings.build(vectors, labels, 40)
+    index = toxicity.Postings.build(vectors, np.arange(500), labels, 40)
     dense = np.array([[v.get(t, 0.0) for t in range(40)] for v in vectors])
     for q in vectors[:40]:
         _, cosines = index.nearest(q, 15)
         query = np.array([q.get(t, 0.0) for t in range(40)])
-        assert np.allclose(cosines, np.sort(dense @ query)[::-1][:15])
+        best = np.sort(dense @ query)[::-1]
+        assert np.allclose(cosines, best[: len(cosines)]) and len(cosines) == (best >= best[14] - 1e-12).sum() >= 15
+
+
+def test_scores_equal_brute_force(spark):
+    docs, labels, _ = labelled(spark, 300, 5)
+    model = toxicity.fit(docs, labels)
+    order = np.argsort(model.index.ids)
+    dense = np.zeros((len(order), len(model.terms) + 1))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+
+    def vector(text):
+        words, low = toxicity.word_total(text), text.lower()
+        found = [sum((w + " ").startswith(t) for w in toxicity._WORD.findall(low)) for t in model.terms]
+        share = [n / words * model.idf[i] * sum(found) / (sum(found) + 1) for i, n in enumerate(found)]
+        whole = np.array([model.rest, *share])
+        return whole / np.sqrt((whole**2).sum())
+
+    for row, i in enumerate(order):
+        dense[row] = vector(texts[int(model.index.ids[i])])
+    truth = model.index.labels[order]
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for i, text in list(texts.items())[:120]:
+        cosines = dense @ vector(text)
+        kth = np.sort(cosines)[::-1][14]
+        sure, tied = cosines > kth + 1e-12, np.abs(cosines - kth) <= 1e-12
+        places = sure + tied * (15 - sure.sum()) / tied.sum()
+        weight = places / (1 - np.minimum(cosines, 1) + 0.02)
+        assert abs(np.interp((weight * truth).sum() / weight.sum(), *model.knots) - got[i]["score"]) < 1e-9
+        assert abs((places * truth).sum() - got[i]["toxic_neighbours"]) < 1e-6
+
+
+def test_ties_repeats_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "same words in every text", i) for i in range(400)], "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit(docs.unionAll(docs.limit(50)), labels)
+    assert len(set(model.index.ids)) == len(model.index.ids)
+    out = toxicity.score(docs, model, keep=["score", "doc_id"])
+    assert out.columns.count("score") == 1 and out.columns.count("doc_id") == 1
+    row = out.first()
+    assert row["score"] > 0.8 and row["toxic_neighbours"] > 12 and len(row["evidence"]) == 5
 
 
 TEXTS = ["The cat sat on the warm mat in a big old house", "the CAT sat, on the warm mat. In a big old house!", "", None, "of the", "lonely words without anchors", "El gato y la casa de su padre", "漢字 the é", "the word " * 3000]
