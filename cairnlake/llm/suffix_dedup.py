@@ -5,8 +5,8 @@ and an earlier start). All suffixes of a corpus are too many to shuffle, so equa
 together by anchors: of the GRAM-byte grams of a window of LENGTH bytes, the leftmost with the least hash. Equal
 windows have equal anchors at equal places, so two windows need comparing only if their anchors agree.
 
-Each anchor owns a stretch of consecutive windows. Stretches whose hash and gram hash agree are equal, and all
-but the first are covered; this already happens inside each map task, so copies do not pile up. What is left
+Each anchor owns a stretch of consecutive windows. Stretches are equal if two independent 64-bit hashes agree, the
+polynomial one of the gram and one (XXH3) of all their bytes with the anchor's place in them; all but the first are covered; this already happens inside each map task, so copies do not pile up. What is left
 are anchors with several different stretches, as they occur where a repeated passage begins or ends or
 a near copy was edited. Their bytes are fetched, and the suffixes that start at their windows are sorted by
 merge sort, all groups at once: two suffixes are compared by binary search for their common extension over
@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnlake.llm.common import mix64, ragged, shuffle_partitions, text_blocks, text_bytes
+from cairnlake.llm.common import mix64, ragged, shuffle_partitions, small_batches, text_blocks, text_bytes
 from cairnlake.llm.rolling import prefix_hash, range_hash
 
 LENGTH = 100
@@ -37,9 +37,9 @@ GRAM = 32
 BLOCK_BYTES = 2 << 20
 STRETCH_ENTRIES = 800_000
 
-ANCHOR = np.dtype([("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("sign", "<u4"), ("start", "<u4"), ("windows", "u1"), ("lead", "u1")])
-SPAN = np.dtype([("sign", "<u4"), ("start", "<u4"), ("stop", "<u4")])
-ASK = np.dtype([("gram", "<u8"), ("sign", "<u4"), ("start", "<u4"), ("windows", "u1"), ("lead", "u1")])
+ANCHOR = np.dtype([("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("sign", "<u8"), ("start", "<u4"), ("windows", "u1"), ("lead", "u1")])
+SPAN = np.dtype([("sign", "<u8"), ("start", "<u4"), ("stop", "<u4")])
+ASK = np.dtype([("gram", "<u8"), ("sign", "<u8"), ("start", "<u4"), ("windows", "u1"), ("lead", "u1")])
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,7 +74,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(starts)))
     first, gram = starts[at], place[at].astype(np.int64)
-    stretch = mix64(range_hash(prefix, first, first + count - 1 + LENGTH) + (count * 256 + gram - first).astype(np.uint64))
+    view, last = memoryview(data), first + count - 1 + LENGTH
+    whole = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first))
+    stretch = mix64(whole + (count * 256 + gram - first).astype(np.uint64))
     return (doc[at], gram, first, count), hashes[gram], stretch
 
 
@@ -83,7 +85,7 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     spans = spans[np.lexsort((spans["start"], spans["sign"]))]
     if len(spans) < 2:
         return spans
-    key = spans["sign"].astype(np.int64) << 32
+    key = np.concatenate([[0], np.cumsum(spans["sign"][1:] != spans["sign"][:-1])]).astype(np.int64) << 32
     reach = np.maximum.accumulate(key + spans["stop"])
     new = np.concatenate([[True], key[1:] + spans["start"][1:] > reach[:-1]])
     at = np.flatnonzero(new)
@@ -153,7 +155,8 @@ def _covered(entries: np.ndarray) -> np.ndarray:
 
 
 def _sign(data: np.ndarray, a: int, b: int) -> int:
-    return xxhash.xxh32_intdigest(data[a:b].tobytes())
+    """Tells the texts of one id apart."""
+    return xxhash.xxh3_64_intdigest(data[a:b].tobytes())
 
 
 def _find_anchors(documents: DataFrame, buckets: int) -> DataFrame:
@@ -175,7 +178,7 @@ def _find_anchors(documents: DataFrame, buckets: int) -> DataFrame:
             if not len(doc):
                 continue
             ids = block["doc"].to_numpy()
-            signs = np.array([_sign(data, a, b) for a, b in zip(offsets, offsets[1:])], np.uint32)
+            signs = np.array([_sign(data, a, b) for a, b in zip(offsets, offsets[1:])], np.uint64)
             entry = np.zeros(len(doc), ANCHOR)
             entry["gram"], entry["stretch"], entry["doc"], entry["sign"] = grams, stretches, ids[doc], signs[doc]
             entry["start"], entry["windows"], entry["lead"] = first - offsets[doc], windows, gram - first
@@ -397,6 +400,7 @@ def _sort_suffixes(fetched: DataFrame) -> DataFrame:
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, packs): packed spans of each document that has bytes to remove."""
     n = shuffle_partitions(df.sparkSession)
+    small_batches(df.sparkSession)
     documents = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body")).where("doc is not null")
     found = _find_anchors(documents, 4 * n).repartition(n, "bucket")
     fetched = _fetch(_match_anchors(found), documents, 16 * n).repartition(n, "bucket")
@@ -404,13 +408,15 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row, and the columns named in keep. With `texts`,
-    also kept_text: the bytes left as text, without characters of which only a part is left."""
-    names = [f"keep_{i}" for i in range(len(keep or []))]
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row, and the columns named in keep, but for those that
+    share a name with these. With `texts`, also kept_text: the bytes left as text, without characters of which only
+    a part is left."""
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * texts
+    keep = [c for c in keep or [] if c not in (id_col, *made)]
+    names = [f"keep_{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "body", 8 << 20):
+        for block in text_blocks(batches, "body", BLOCK_BYTES):
             data, offsets = text_bytes(block["body"])
             removed, counts, digests, kept = [], [], [], []
             for i, packs in enumerate(block["packs"].to_pylist()):
@@ -435,9 +441,9 @@ def remove_repeats(df: DataFrame, keep: list[str] | None = None, texts: bool = F
             own += [pa.array(kept, pa.string())] if texts else []
             yield pa.RecordBatch.from_arrays([block["doc"].combine_chunks(), *own, *[block[c].combine_chunks() for c in names]], ["doc", *made, *names])
 
-    everything = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(k) for c, k in zip(keep or [], names)])
+    everything = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(k) for c, k in zip(keep, names)])
     rows = everything.where("doc is not null").join(repeated_spans(df, id_col, text_col), "doc", "left")
     rows = rows.unionByName(everything.where("doc is null").withColumn("packs", F.lit(None).cast("array<binary>")))
-    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * texts + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep or [], names))
+    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * texts + "".join(f", {k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep, names))
     out = rows.select("doc", "body", "packs", *names).mapInArrow(run, schema)
-    return out.select(F.col("doc").alias(id_col), *made, *[F.col(k).alias(c) for c, k in zip(keep or [], names) if c != id_col])
+    return out.select(F.col("doc").alias(id_col), *made, *[F.col(k).alias(c) for c, k in zip(keep, names)])

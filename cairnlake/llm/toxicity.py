@@ -124,12 +124,12 @@ class Postings:
         bounds = values @ self.limits[terms]
         order = np.argsort(-bounds, kind="stable")
         best, cosines = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, max(2, -(-k // BLOCK))
+        at, step = 0, max(8, -(-k // BLOCK))
         while at < len(order):
             if len(cosines) >= k and bounds[order[at]] < cosines[k - 1] - TIE:
                 break
             blocks = np.sort(order[at : at + step])
-            at, step = at + step, step * 2
+            at, step = at + step, step * 4
             scores = np.zeros(len(blocks) * BLOCK)
             shift = (np.arange(len(blocks)) - blocks) * BLOCK
             for t, v in zip(terms, values):

@@ -78,3 +78,32 @@ def test_suffix_sort_orders_like_bytes():
     plain = data.tobytes()
     expected = sorted(range(700), key=lambda i: (group[i], plain[starts[i] : starts[i] + 100]))
     assert order.tolist() == expected
+
+
+def test_bytes_with_equal_polynomial_hashes_stay(spark):
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    tail = "".join(chr(97 + i * 7 % 26) for i in range(200))
+    rows = [(0, "0" * 60 + a), (1, "1" * 60 + b), (2, tail), (3, "3" + tail)]
+    df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, n_bytes int")
+    out = suffix_dedup.remove_repeats(df, keep=["n_bytes"])
+    assert out.columns.count("n_bytes") == 1
+    seen, expected = set(), {}
+    for i, text in rows:
+        gone = [False] * len(text)
+        for k in range(len(text) - 99):
+            if text[k : k + 100] in seen:
+                gone[k : k + 100] = [True] * 100
+            seen.add(text[k : k + 100])
+        expected[i] = sum(gone)
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == expected
+
+
+def test_one_very_long_text(spark):
+    rng = random.Random(8)
+    piece = "".join(rng.choice("abcdefghij ") for _ in range(1000))
+    text = piece + "".join(f"{rng.getrandbits(40):x} " for _ in range(200_000)) + piece
+    df = spark.createDataFrame([(1, text), (2, piece[100:900])], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {1: (1000, 1), 2: (800, 1)}
