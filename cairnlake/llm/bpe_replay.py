@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by replaying the merge list over the words of the whole corpus.
 
-Documents are shuffled once into blocks by a hash. Each block lists its distinct pre-tokens, which meet by a hash
+Documents are packed into blocks, which are shuffled once. Each block lists its distinct pre-tokens, which meet by a hash
 of theirs: a task gets one part of all distinct words of the corpus, lays their bytes out in one symbol array and
 keeps an inverted index from pair rank to the word positions of that pair. The merges are applied in rank order
 over all words at once: the positions of the lowest pending rank are merged, and only the neighbours that a
@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +26,8 @@ from cairnlake.llm.pairs import NONE, Vocabulary, ranked_bytes
 from cairnlake.llm.rolling import prefix_hash, range_hash
 from cairnlake.llm.segments import spaced_starts
 
-BLOCK_BYTES = 2 << 20
-#: Blocks of documents for each shuffle partition; a block lists its own words.
-BLOCKS = 2
+#: Text of a block of documents, which lists its own words.
+BLOCK_BYTES = 4 << 20
 
 
 class _Pending:
@@ -241,14 +241,13 @@ def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: C
     small_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     names = [f.split()[0] for f in fields.split(", ")]
-    documents = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
-    documents = documents.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n * BLOCKS)))
+    documents = df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInArrow(_pieces, f"block bigint, ids array<{kind}>, texts binary")
     documents = documents.repartition(n, "block")  # both uses share this shuffle
 
     def words_of(table: pa.Table) -> pa.Table:
         seen = [pa.array([], pa.binary())]
-        for part in text_blocks(iter(table.to_batches()), "text", BLOCK_BYTES):
-            data, offsets = text_bytes(part["text"])
+        for pack in table["texts"].to_pylist():
+            data, offsets = _texts(pack)
             if len(data):
                 seen.append(pre_tokens(data, offsets)[0].dictionary_encode().dictionary)
         words = pa.concat_arrays(seen).dictionary_encode().dictionary
@@ -257,14 +256,14 @@ def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: C
     def replay_bucket(table: pa.Table) -> pa.Table:
         return _replayed(table, ranked_bytes(path))
 
-    def encode_rows(texts: pa.Table, coded: pa.Table) -> pa.Table:
+    def encode_rows(pieces: pa.Table, coded: pa.Table) -> pa.Table:
         vocabulary = ranked_bytes(path)
         known = WordIds.of(coded["words"].to_pylist(), coded["ids"].to_pylist())
         rows = []
-        for part in text_blocks(iter(texts.to_batches()), "text", BLOCK_BYTES):
-            data, offsets = text_bytes(part["text"])
-            ids, ends = known.encode(data, offsets)
-            rows.append(pa.table([part["id"], *finish(data, offsets, ids, ends, vocabulary)], ["id", *names]))
+        for ids, pack in zip(pieces["ids"], pieces["texts"].to_pylist()):
+            data, offsets = _texts(pack)
+            symbols, ends = known.encode(data, offsets)
+            rows.append(pa.table([ids.values, *finish(data, offsets, symbols, ends, vocabulary)], ["id", *names]))
         return pa.concat_tables(rows)
 
     words = documents.groupBy("block").applyInArrow(words_of, "bucket bigint, block bigint, words binary")
@@ -273,6 +272,23 @@ def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: C
     return out.select(F.col("id").alias(id_col), *names)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents, their texts compressed together, named by a hash of what they hold."""
+    for piece in text_blocks(batches, "text", BLOCK_BYTES):
+        data, offsets = text_bytes(piece["text"])
+        ids = piece["id"].combine_chunks()
+        pack = zstandard.ZstdCompressor(level=1).compress(np.diff(offsets).astype("<u4").tobytes() + data.tobytes())
+        pack = len(ids).to_bytes(8, "little") + pack
+        name = np.array([xxhash.xxh3_64_intdigest(pack)], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(name), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([pack], pa.binary())], ["block", "ids", "texts"])
+
+
+def _texts(pack: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(pack[:8], "little")
+    plain = zstandard.ZstdDecompressor().decompress(pack[8:])
+    return np.frombuffer(plain, np.uint8, offset=4 * n), np.concatenate([[0], np.cumsum(np.frombuffer(plain, "<u4", n), dtype=np.int64)])
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>, n_tokens, restored) of every row; restored says that decoding the ids gives the
     text's bytes again. Null and empty texts have no ids. Repeated rows and null ids pass through; other columns

@@ -72,7 +72,9 @@ def mix(df: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", te
     rows = rows.withColumn("place", place).withColumn("rate", rate).withColumn("offset", offset)
     copies = (F.floor(F.col("place") * F.col("rate") + F.col("offset")) - F.floor((F.col("place") - 1) * F.col("rate") + F.col("offset"))).cast("long")
     rows = rows.withColumn("copies", copies)
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep or []) if c != id_col])
+    result = [F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
+    own = {id_col, "size", "source_size", "target", "copies", "taken"}
+    return rows.select(*result, *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep or []) if c not in own])
 
 
 def _null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -88,5 +90,6 @@ def _null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 def mixed_rows(df: DataFrame, **options) -> DataFrame:
     """The mixture itself: every row of df as often as its source's share crosses integers over it."""
     columns = df.columns
-    plan = mix(df, keep=columns, **options)
-    return plan.where("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).drop("__copy")
+    held = df.select(*columns, F.struct(*columns).alias("__row"))
+    plan = mix(held, keep=["__row"], **options).where("copies > 0")
+    return plan.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col("__row")[c].alias(c) for c in columns])

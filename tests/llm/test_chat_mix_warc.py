@@ -130,3 +130,13 @@ def test_one_long_conversation():
     turns = [("user" if i % 2 else "assistant", "t" * (i % 50)) for i in range(400)]
     made = chat.format_turns(chat.marked_turns, turns)
     assert made.text == chat.marked_turns(turns) and "".join(made.text[a:b] for a, b in made.spans) == made.text
+
+
+def test_mixing_with_clashing_columns_ties_and_repeats(spark):
+    rows = [(i % 3, "w " * (5 if i % 2 else 1000), "s", i, "x", 1.0, 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, copies string, target double, taken int")
+    mixed = mixing.mixed_rows(df)
+    assert mixed.columns == df.columns
+    total = sum(len(r["text"].split()) for r in mixed.collect())
+    assert abs(total - 1.5 * sum(len(r[1].split()) for r in rows)) <= 2000
+    assert mixing.mix(df, keep=["size"]).columns.count("size") == 1
