@@ -155,13 +155,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating star contraction: every round links the larger neighbours of a node, then the smaller
     ones, to its smallest neighbour. A round is two aggregations with map-side combine and two joins
-    that adaptive execution may split, so a hub costs no single task its whole neighbourhood; before it is
-    written, each task also ties together what its own share of the edges reaches. Earlier rounds are
-    deleted. Rounds go on until every node is linked to the smallest of its component alone."""
-    spark = edges.sparkSession
-    path = shared_dir(spark)
-    now = written(_contracted(_oriented(edges)), path)
-    while not _are_stars(now):
+    that adaptive execution may split, so a hub costs no single task its whole neighbourhood. Before each round
+    every task ties together what a share of at most about SHARE edges reaches; where one share holds all edges, that
+    already is the result. Earlier rounds are deleted. Rounds go on until every node is linked to the
+    smallest of its component alone."""
+    now, path = _rewritten(_oriented(edges), None)
+    while True:
+        shares = -(-now.count() // SHARE)
+        now, path = _rewritten(_contracted(now.coalesce(max(1, shares))), path)
+        if shares <= 1 or _are_stars(now):
+            break
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -171,23 +174,31 @@ def components(edges: DataFrame) -> DataFrame:
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         small = star.join(low, "u")
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        step = _contracted(_oriented(small.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-        next_path = shared_dir(spark)
-        now = written(step, next_path)
-        drop_path(spark, path)
-        path = next_path
+        now, path = _rewritten(_oriented(small.select(F.col("a").alias("src"), F.col("b").alias("dst"))), path)
     _folders.append(path)
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(roots)
 
 
+#: Edges that one task ties together.
+SHARE = 2_000_000
+
+
+def _rewritten(df: DataFrame, old: str | None) -> tuple[DataFrame, str]:
+    """df written to a new shared folder, and that folder; the folder it was made from goes."""
+    path = shared_dir(df.sparkSession)
+    out = written(df, path)
+    if old:
+        drop_path(df.sparkSession, old)
+    return out, path
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """What the edges of each partition reach, as stars around the smallest ids; a partition is bounded by the
-    session's advisory size."""
+    """What the edges of each partition reach, as stars around the smallest ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -199,7 +210,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
         tied = np.flatnonzero(label != np.arange(len(ids)))
         yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(ids[label[tied]])], ["u", "v"])
 
-    return edges.hint("rebalance", "v").mapInArrow(run, "u bigint, v bigint")
+    return edges.mapInArrow(run, "u bigint, v bigint")
 
 
 def _are_stars(edges: DataFrame) -> bool:
