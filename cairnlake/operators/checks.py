@@ -60,10 +60,11 @@ def load_and_swap(spark, tables: dict[str, DataFrame], checks, database: str = "
     fresh = {name: spark.table(f"{database}.{name}_Temp") for name in tables}
     result = {name: not check(fresh).take(1) for name, check in checks.items()}
     if all(result.values()):
-        for name in tables:
-            if spark.catalog.tableExists(f"{database}.{name}"):
-                spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_Old")
-                spark.sql(f"ALTER TABLE {database}.{name} RENAME TO {database}.{name}_Old")
-            spark.sql(f"ALTER TABLE {database}.{name}_Temp RENAME TO {database}.{name}")
+        live = [name for name in tables if spark.catalog.tableExists(f"{database}.{name}")]
+        for name in live:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_Old")
+        for old, new in [(name, f"{name}_Old") for name in live] + [(f"{name}_Temp", name) for name in tables]:
+            spark.sql(f"ALTER TABLE {database}.{old} RENAME TO {database}.{new}")  # names only, all together
+        for name in live:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_Old")
     return result

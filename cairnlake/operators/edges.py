@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +26,34 @@ def orphans(removed: DataFrame, edges: DataFrame, subject: str) -> DataFrame:
     return removed.select(subject).distinct().join(edges.select(subject), subject, "left_anti")
 
 
-def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str = "issuer_fingerprint", most_steps: int = 5) -> DataFrame:
+def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str = "issuer_fingerprint") -> DataFrame:
     """(key, root, steps): each certificate followed to one without a known issuer or that issued itself.
 
-    Every round doubles the distance covered, so a chain of 2**most_steps is reached."""
+    Every round doubles the distance covered, and is written to the shared folder, until nothing is left to follow.
+    Certificates that issue each other in a circle have no root: they are an error."""
     up = certificates.select(F.col(key).alias("node"), F.when(F.col(issuer) != F.col(key), F.col(issuer)).alias("up"))
     known = up.select(F.col("node").alias("up_node"))
-    up = up.join(known, up["up"] == known["up_node"], "left").select("node", F.coalesce("up_node", "node").alias("root"), F.when(F.col("up_node").isNull(), 0).otherwise(1).alias("steps"))
-    for _ in range(most_steps):
+    up = _cut(up.join(known, up["up"] == known["up_node"], "left").select("node", F.coalesce("up_node", "node").alias("root"), F.when(F.col("up_node").isNull(), 0).otherwise(1).alias("steps")))
+    reach, nodes = 1, up.count()
+    while True:
+        ends = up.where("steps = 0").select(F.col("node").alias("root"))
+        if not up.join(ends, "root", "left_anti").take(1):
+            return up.select(F.col("node").alias(key), "root", "steps")
+        if reach > nodes:
+            raise ValueError("certificates issue each other in a circle")
         ahead = up.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("steps").alias("more"))
-        up = up.join(ahead, "root").select("node", F.col("next").alias("root"), (F.col("steps") + F.col("more")).alias("steps"))
-    return up.select(F.col("node").alias(key), "root", "steps")
+        up = _cut(up.join(ahead, "root").select("node", F.col("next").alias("root"), (F.col("steps") + F.col("more")).alias("steps")))
+        reach *= 2
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again, so that plans do not double with each round."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="cairnlake-")
+    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

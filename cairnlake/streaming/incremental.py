@@ -35,16 +35,22 @@ class Cursors:
 
 def run_once(cursors: Cursors, name: str, events: DataFrame, at: str, depends_on: list[str], step: Callable[[DataFrame], None], start: int = 0, given_max: int | None = None, enabled: bool = True) -> str:
     """Processes the events after the cursor of `name`, up to the given maximum or to what all runs it depends on have
-    done, and moves the cursor. Returns the state of the run."""
+    done (without such runs: to the last event there is), and moves the cursor. Returns the state of the run.
+
+    A maximum beyond what there is would move the cursor past events that come later, so the run is blocked until
+    they are there; so is one that depends on a run which has not started."""
     if not enabled:
         return "Disabled"
     low = cursors.get(name, start)
     reached = [cursors.get(d, start) for d in depends_on]
     source = min(reached) if reached else events.agg(F.max(at)).first()[0]
-    high = given_max if given_max is not None else source
-    if high is None or high == low:
+    if reached and source <= start:
+        return "BlockedByDependency"
+    source = start if source is None else source
+    high = source if given_max is None else given_max
+    if high == low:
         return "FullyCaughtUpWithMax" if given_max is not None else "FullyCaughtUpWithDependency"
-    if reached and high > min(reached):
+    if high > source:
         return "BlockedByDependency"
     if high < low:
         return "MinAfterMax"

@@ -308,3 +308,25 @@ def test_drivers(spark):
     dep, vul = drivers.deprecations_and_vulnerabilities(leaves)
     assert [r["ResultType"] for r in dep.orderBy("Identity").collect()] == ["NotDeprecated", "Deprecated", "Deleted"]
     assert [(r["ResultType"], r["GitHubDatabaseKey"]) for r in vul.orderBy("Identity").collect()] == [("Vulnerable", 7), ("NotVulnerable", None), ("Deleted", None)]
+
+
+def test_long_chains_and_circles(spark):
+    from cairnlake.operators import edges
+
+    chain = [(i, i + 1) for i in range(40)] + [(40, 40), (100, None)]
+    got = {r["fingerprint"]: (r["root"], r["steps"]) for r in edges.chain_roots(spark.createDataFrame(chain, "fingerprint long, issuer_fingerprint long")).collect()}
+    assert got == {i: (40, 40 - i) for i in range(41)} | {100: (100, 0)}
+    with pytest.raises(ValueError):
+        edges.chain_roots(spark.createDataFrame([(1, 2), (2, 1)], "fingerprint long, issuer_fingerprint long"))
+
+
+def test_runs_never_skip_late_events(spark, tmp_path):
+    from cairnlake.streaming.incremental import Cursors, run_once
+
+    cursors, seen = Cursors(spark, str(tmp_path / "late")), []
+    step = lambda df: seen.extend(r["at"] for r in df.collect())
+    five, twenty = (spark.range(1, n).withColumnRenamed("id", "at") for n in (6, 21))
+    assert run_once(cursors, "a", five, "at", [], step, given_max=100) == "BlockedByDependency"
+    assert run_once(cursors, "a", five, "at", [], step) == "NewStarted"
+    assert run_once(cursors, "a", twenty, "at", [], step, given_max=20) == "NewStarted" and seen == list(range(1, 21))
+    assert run_once(cursors, "b", twenty, "at", ["c"], step) == "BlockedByDependency"
