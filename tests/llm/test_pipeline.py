@@ -1,6 +1,6 @@
 import importlib
 
-from cairnlake.llm import bpe_replay, jaccard_join, suffix_dedup
+from cairnlake.llm import jaccard_join, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,4 +30,3 @@ def test_run_gives_token_ids(spark):
     out = pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "ids", "n_tokens", "restored"]
     assert out.where("size(ids) <> n_tokens or not restored").count() == 0 and out.count() > 50
-    assert bpe_replay.BLOCK_BYTES > 0
