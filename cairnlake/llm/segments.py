@@ -7,9 +7,11 @@ where the class changes, so no regular expression runs over the text."""
 from __future__ import annotations
 
 import functools
-import unicodedata
 
 import numpy as np
+import tiktoken
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
@@ -17,23 +19,37 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-@functools.cache
-def class_table() -> np.ndarray:
-    """The class of every code point."""
+def every_character() -> str:
+    return "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+
+
+def _table(letters: str, numbers: str) -> np.ndarray:
     kinds = np.zeros(0x110000, np.uint8)
-    for point in range(0x110000):
-        major = unicodedata.category(chr(point))[0]
-        if major == "L":
-            kinds[point] = LETTER
-        elif major == "N":
-            kinds[point] = NUMBER
-    kinds[[ord(c) for c in WHITE_SPACE]] = SPACE
+    for kind, members in ((LETTER, letters), (NUMBER, numbers), (SPACE, WHITE_SPACE)):
+        kinds[np.frombuffer(members.encode("utf-32-le"), np.uint32)] = kind
     return kinds
 
 
-def byte_classes(data: np.ndarray) -> np.ndarray:
+@functools.cache
+def spaced_classes() -> np.ndarray:
+    """The class of every code point, by the character data of the library whose pattern spaced_starts() follows.
+
+    The libraries differ from each other and from Python in their version of Unicode. An encoding of single bytes
+    drops what its pattern does not match, so one call tells all characters of a class."""
+    single = {bytes([i]): i for i in range(256)}
+    found = [bytes(tiktoken.Encoding("class", pat_str=p, mergeable_ranks=single, special_tokens={}).encode_ordinary(every_character())).decode() for p in (r"\p{L}+", r"\p{N}+")]
+    return _table(*found)
+
+
+@functools.cache
+def word_classes() -> np.ndarray:
+    """Like spaced_classes(), by the library whose pattern word_starts() follows."""
+    found = [Split(Regex(p), "removed", invert=True).pre_tokenize_str(every_character()) for p in (r"\p{L}+", r"\p{N}+")]
+    return _table(*["".join(piece for piece, _ in pieces) for pieces in found])
+
+
+def byte_classes(data: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The class of the character that each byte belongs to."""
-    table = class_table()
     ascii_only = np.zeros(256, np.uint8)
     ascii_only[:128] = table[:128]
     out = ascii_only[data]
@@ -88,7 +104,7 @@ def spaced_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     start. The tokens cover every byte, and none crosses a text."""
     if not len(data):
         return np.zeros(0, np.int64)
-    kinds = byte_classes(data)
+    kinds = byte_classes(data, spaced_classes())
     starts, first = _runs(data, kinds, offsets)
     ends = np.flatnonzero(starts[1:] & (kinds[1:] != SPACE) & (kinds[:-1] == SPACE)) + 1
     ends = ends[~first[ends]]
@@ -106,7 +122,7 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     between them, and which of them are tokens."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    kinds = byte_classes(data)
+    kinds = byte_classes(data, word_classes())
     starts, first = _runs(data, kinds, offsets)
     starts |= (kinds == NUMBER) & ((data & 0xC0) != 0x80)
     _contractions(data, kinds, starts, first)

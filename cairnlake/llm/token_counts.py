@@ -6,12 +6,16 @@ it. What remains of a word is its number of tokens, and a text sums the counts o
 
 from __future__ import annotations
 
-import unicodedata
+import functools
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
+from tokenizers.normalizers import Normalizer
 
 from cairnlake.llm.bpe_replay import _binary
 from cairnlake.llm.common import text_blocks, text_bytes
@@ -20,9 +24,6 @@ from cairnlake.llm.segments import word_starts
 
 BLOCK_BYTES = 8 << 20
 
-# Strings that the tokenizer maps to one token wherever they stand in a text.
-SPECIAL = ("<|startoftext|>", "<|endoftext|>")
-
 
 def word_token_counts(words: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """How many tokens each word (a non-empty range of bytes) has."""
@@ -74,25 +75,29 @@ def _slots(symbol: np.ndarray, lengths: np.ndarray, slots) -> np.ndarray:
     return out
 
 
-def _prepared(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
+@functools.cache
+def _rules(path: str) -> tuple[re.Pattern | None, Normalizer]:
+    """What the tokenizer file says of strings that are one token wherever they stand, and its normaliser."""
+    special = sorted((t["content"] for t in json.loads(open(path, encoding="utf-8").read())["added_tokens"]), key=len, reverse=True)
+    return re.compile("|".join(map(re.escape, special))) if special else None, Tokenizer.from_file(path).normalizer
+
+
+def _prepared(texts: list[str | None], path: str) -> tuple[list[bytes], np.ndarray]:
     """The texts as the tokenizer's normaliser leaves them, and how many special strings each held."""
+    pattern, normalizer = _rules(path)
     special = np.zeros(len(texts), np.int64)
     out = []
     for i, text in enumerate(texts):
         text = text or ""
-        if "<|" in text:
-            for s in SPECIAL:
-                special[i] += text.count(s)
-                text = text.replace(s, "\n")
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        out.append(text.lower().encode())
+        if pattern:
+            text, special[i] = pattern.subn("\n", text)
+        out.append((text.lower() if text.isascii() else normalizer.normalize_str(text)).encode())
     return out, special
 
 
-def count_block(texts: list[str | None], vocabulary: Vocabulary) -> np.ndarray:
+def count_block(texts: list[str | None], vocabulary: Vocabulary, path: str) -> np.ndarray:
     """Tokens of each text."""
-    ready, special = _prepared(texts)
+    ready, special = _prepared(texts, path)
     data = np.frombuffer(b"".join(ready), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in ready])]).astype(np.int64)
     if not len(data):
@@ -117,7 +122,7 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         vocabulary = merged_words(path)
         for block in text_blocks(batches, "_text", BLOCK_BYTES):
             _, offsets = text_bytes(block["_text"])
-            counts = count_block(block["_text"].to_pylist(), vocabulary)
+            counts = count_block(block["_text"].to_pylist(), vocabulary, path)
             yield pa.RecordBatch.from_arrays([block["_id"].combine_chunks(), pa.array(np.diff(offsets)), pa.array(counts), pa.array(counts > limit)], [id_col, "n_bytes", "n_tokens", "over_limit"])
 
     source = df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))

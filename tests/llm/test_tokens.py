@@ -7,7 +7,7 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-from cairnlake.llm import bpe_replay, pairs, token_counts
+from cairnlake.llm import bpe_replay, pairs, segments, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -62,3 +62,21 @@ def test_tables_of_merges():
     assert not words.early.any()  # merges only ever build on earlier merges
     found = words.pairs.find(np.array([-1, 5]), np.array([3, -2]))
     assert (found == -1).all()
+
+
+def test_every_character_counts_as_in_the_library():
+    library, words = Tokenizer.from_file(WORDS), pairs.merged_words(WORDS)
+    characters = segments.every_character()
+    for at in range(0, len(characters), 50_000):
+        few = [f"ab{c}cd {c}1e\u0301{c}\u0307" for c in characters[at : at + 50_000]]
+        expected = [len(e.ids) for e in library.encode_batch(few, add_special_tokens=False)]
+        assert token_counts.count_block(few, words, WORDS).tolist() == expected
+
+
+def test_every_character_is_encoded_as_in_the_library(spark):
+    characters = [c for c in segments.every_character() if c != "\x00"]
+    rows = [(i, "".join(f"ab{c}cd {c}1 " for c in characters[i : i + 5_000])) for i in range(0, len(characters), 5_000)]
+    got = {r["doc_id"]: r["ids"] for r in bpe_replay.encode(spark.createDataFrame(rows, "doc_id long, text string"), RANKS).collect()}
+    enc = reference()
+    for i, text in rows:
+        assert list(got[i]) == enc.encode_ordinary(text)
