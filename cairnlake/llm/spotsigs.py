@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cairnlake.llm.common import shuffle_partitions
+
 # Common words of English, German, French and Spanish.
 COMMON_WORDS = (
     "a an and are as at be by for from has he in is it of on or that the this to was were will with not you they "
@@ -19,7 +21,7 @@ COMMON_WORDS = (
     "el los las una unos del y o es en que se por con para su al lo como más no"
 ).split()
 CHAIN = 3
-BLOCK_IDS = 1024
+BLOCKS_PER_PARTITION = 8
 
 _MARK = "\u0001"
 
@@ -35,12 +37,12 @@ def content_words(words: Column) -> Column:
 
 
 def spots(words: Column, chain: int = CHAIN) -> Column:
-    """The distinct signatures of marked content words as 32-bit hashes, in order."""
+    """The distinct signatures of marked content words as 64-bit hashes, in order."""
     last = F.size(words) - chain
 
     def spot(word: Column, i: Column) -> Column:
         rest = [F.get(words, i + k) for k in range(1, chain)]
-        return F.when(word.startswith(_MARK) & (i <= last), F.hash(F.translate(F.concat_ws(" ", word, *rest), _MARK, "")))
+        return F.when(word.startswith(_MARK) & (i <= last), F.xxhash64(F.translate(F.concat_ws(" ", word, *rest), _MARK, "")))
 
     return F.sort_array(F.array_distinct(F.array_compact(F.transform(words, spot))))
 
@@ -49,7 +51,7 @@ def with_signatures(df: DataFrame, text_col: str, name: str, chain: int = CHAIN)
     """df with the signatures of a text column. Each step is a column of its own, so nothing is computed twice."""
     df = df.withColumn("__all", F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"))
     df = df.withColumn("__words", content_words(F.col("__all"))).withColumn("__spots", spots(F.col("__words"), chain))
-    whole = F.when(F.size("__words") > 0, F.array(F.hash(F.translate(F.array_join("__words", " "), _MARK, "")))).otherwise(F.array().cast("array<int>"))
+    whole = F.when(F.size("__words") > 0, F.array(F.xxhash64(F.translate(F.array_join("__words", " "), _MARK, "")))).otherwise(F.array().cast("array<bigint>"))
     return df.withColumn(name, F.when(F.size("__spots") > 0, F.col("__spots")).otherwise(whole)).drop("__all", "__words", "__spots")
 
 
@@ -65,18 +67,39 @@ def digest(sigs: Column) -> Column:
     return F.sha2(F.array_join(sigs.cast("array<string>"), ","), 256)
 
 
+def _cuts(ids: DataFrame, blocks: int) -> list[int]:
+    """Ids that cut a table into about `blocks` blocks of like numbers of rows, however the ids lie; at most `blocks` values."""
+    shares = [i / blocks for i in range(1, blocks)]
+    found = ids.where("id is not null").agg(F.percentile_approx("id", shares, 10 * blocks).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def _block(id_: Column, cuts: list[int]) -> Column:
+    """How many cuts are not above the id. A coarse step over every 32nd cut leaves 32 for the fine one."""
+    if not cuts:
+        return F.lit(0)
+    below = lambda some: F.size(F.filter(some, lambda cut: cut <= id_))
+    coarse = 32 * below(F.array(*map(F.lit, cuts[31::32]))) if len(cuts) > 31 else F.lit(0)
+    return coarse + below(F.slice(F.array(*map(F.lit, cuts)), coarse + 1, 32))
+
+
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, sigs, next_text, next_sigs): each row with the next one by descending id, the first after the last.
 
-    Rows are taken in blocks of BLOCK_IDS ids. Each block also gets the first row of the block after it, so no
-    task orders more than a block. Null ids come last; equal ids follow by text; null texts count as empty."""
+    Rows are taken in blocks of ids that hold about equally many rows, by percentiles of the ids. Each block also gets
+    the first row of the block after it, so no task orders more than a block; the order of the blocks themselves is a
+    table of at most BLOCKS_PER_PARTITION rows for each shuffle partition. Null ids come last; equal ids follow by
+    text; null texts count as empty. Rows of one id, and those of null ids, are one block."""
     lowest = F.lit(-(2**63))
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), lowest).alias("id"), F.col(id_col).alias("own"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.shiftright("id", BLOCK_IDS.bit_length() - 1))
+    cuts = _cuts(df.select(F.col(id_col).cast("long").alias("id")), BLOCKS_PER_PARTITION * shuffle_partitions(df.sparkSession))
+    rows = rows.withColumn("block", _block(F.col("id"), cuts))
     tops = rows.groupBy("block").agg(F.max("id").alias("top"))
-    order = Window.orderBy(F.desc("block"))  # one row for each BLOCK_IDS ids
+    order = Window.orderBy(F.desc("block"))  # one row for each block
     after = tops.select("block", F.coalesce(F.lead("top").over(order), F.max("top").over(Window.partitionBy())).alias("top"))
-    guests = rows.drop("block").join(after, F.col("id") == F.col("top")).select("id", "own", "text", "block", F.lit(True).alias("guest"))
+    first = F.struct("text", "own")
+    starts = rows.join(F.broadcast(tops.select("top")), F.col("id") == F.col("top"), "left_semi").groupBy("id").agg(F.min(first).alias("first"))
+    guests = starts.join(F.broadcast(after), F.col("id") == F.col("top")).select("id", "first.own", "first.text", "block", F.lit(True).alias("guest"))
     both = rows.select("id", "own", "text", "block", F.lit(False).alias("guest")).unionByName(guests).repartition("block")
     both = with_signatures(both, "text", "sigs")
     by = Window.partitionBy("block").orderBy("guest", F.desc("id"), "text")

@@ -137,6 +137,17 @@ def test_edits_against_brute_force(spark):
     assert lone["near_next"] == 1.0
 
 
+def test_neighbours_of_sparse_repeated_and_null_ids(spark):
+    rng = random.Random(5)
+    ids = [rng.randint(-(2**62), 2**62) for _ in range(700)] + [7] * 5 + [None] * 4 + list(range(300))
+    rows = [(i, f"text {k % 90}") for k, i in enumerate(ids)]
+    got = spotsigs.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    expected = [(*r, order[(k + 1) % len(order)][1]) for k, r in enumerate(order)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert sorted([(r["id"], r["text"], r["next_text"]) for r in got], key=key) == sorted(expected, key=key)
+
+
 def test_near_duplicates(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
