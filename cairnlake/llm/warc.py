@@ -1,25 +1,29 @@
 """WARC archives: deduplicated writing, reading back, and a globally ordered capture index.
 
-Records are written through Spark's own file output as gzip members of bounded length, so a lost executor
-repeats only its files. Each archive file yields a run of index entries sorted by URL key and time.
-The runs are cut into key ranges, and each range merges its pieces of all runs with a loser tree."""
+Records are written through Spark's own file output, RECORDS_PER_FILE to a gzip file, so a lost executor repeats
+only its files. A file is read back as a stream: a task holds it compressed, and inflated one record at a time.
+Each archive file yields a run of index entries sorted by URL key and time. The runs are cut into key ranges of
+about ENTRIES_PER_RANGE entries, however many pages there are, and each range merges its pieces of all runs with a
+loser tree. Offsets of records count inflated bytes."""
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.llm.common import shared_dir, written
+from cairnlake.llm.common import shared_dir, shuffle_partitions, written
 
 LEAST_REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 4000
+ENTRIES_PER_RANGE = 100_000
 
 # Names and URIs of the WARC 1.1 format.
 VERSION = "WARC/1.1"
@@ -69,22 +73,22 @@ def url_key(url: str) -> str:
 
 
 def parse_records(content: bytes) -> Iterator[dict]:
-    """The records of one archive file (gzip members, or plain)."""
-    if content[:2] == b"\x1f\x8b":
-        plain = []
-        while content:
-            member = zlib.decompressobj(31)
-            plain.append(member.decompress(content))
-            content = member.unused_data
-        content = b"".join(plain)
+    """The records of one archive file (gzip members, or plain), one at a time. Damage is an error."""
+    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
     at = 0
-    while at < len(content):
-        if not content.startswith(b"WARC/", at):
+    while line := stream.readline():
+        if not line.startswith(b"WARC/"):
             raise ValueError(f"no record at byte {at}")
-        split = content.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in content[at:split].decode().split("\r\n")[1:])
-        stop = split + 4 + int(head["Content-Length"])
-        block = content[split + 4 : stop]
+        stop, head = at + len(line), {}
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            stop += len(line)
+            name, value = line.decode().removesuffix("\r\n").split(": ", 1)
+            head[name] = value
+        length = int(head["Content-Length"])
+        block = stream.read(length)
+        if len(block) < length or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record at byte {at} is cut short")
+        stop += 2 + length
         body = block.index(b"\r\n\r\n") + 4
         size = int(re.search(rb"\r\nContent-Length: (\d+)", block[:body])[1])
         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -165,7 +169,7 @@ class LoserTree:
 def merged_index(runs: DataFrame) -> DataFrame:
     """All entries in ranges of (url_key, captured, page_id), in order inside each range and across range
     numbers: (entry columns, key_range, position). Equal keys keep the order of their archives' names."""
-    n = max(2, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(2, shuffle_partitions(runs.sparkSession), -(-runs.count() // ENTRIES_PER_RANGE))
     ranged = runs.repartitionByRange(n, "url_key", "captured", "page_id").withColumn("key_range", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 from collections import Counter
@@ -94,6 +95,29 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.archive(df.limit(0), str(tmp_path / "e")).count() == 0
 
 
+def test_members_and_cut_archives(spark, tmp_path):
+    record = spark.createDataFrame([(5, "http://a.example/x?y#z", "<p>é\r\n\r\n</p>")], "page_id long, url string, html string")
+    plain = warc.records(record).first()["record"].encode() + b"\r\n\r\n"
+    members = gzip.compress(plain) + gzip.compress(plain)
+    found = list(warc.parse_records(members))
+    assert found == list(warc.parse_records(plain + plain)) and [e["record_at"] for e in found] == [0, len(plain)]
+    assert found[0]["url_key"] == "example,a)/x?y" and found[0]["record_bytes"] == len(plain)
+    for damaged in (plain[:-2], plain[:-20], plain.replace(b"<p>", b"<q>"), b"x" + plain):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(damaged))
+
+
+def test_long_and_repeated_pages_in_many_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ENTRIES_PER_RANGE", 3)
+    pages = [(1, "http://b.example/", "ü" * 2_000_000), (2, "http://a.example/", "ü" * 2_000_000), (2, "http://a.example/", "ü" * 2_000_000)]
+    pages += [(9, "http://c.example/", "short"), (9, "http://c.example/", "short")] + [(100 + i, f"http://d.example/{i % 4}", f"page {i}") for i in range(30)]
+    index = warc.archive(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w")).orderBy("key_range", "position").collect()
+    assert len(index) == len(pages) and len({r["key_range"] for r in index}) > 4
+    keys = [(r["url_key"], r["captured"], r["page_id"]) for r in index]
+    assert keys == sorted(keys)
+    assert Counter((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in index if r["page_id"] < 100) == Counter({(1, "revisit", 2, 4_000_000): 1, (2, "response", None, 4_000_000): 2, (9, "response", None, 5): 2})
+
+
 def test_loser_tree_merges_runs():
     rng = random.Random(3)
     for k in (0, 1, 2, 5, 9):
