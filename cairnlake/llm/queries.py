@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, spotsigs, suffix_dedup, token_counts, toxicity, warc
+from cairnlake.llm import bpe_replay, chat, jaccard_join, lattice, mixing, quality, resampling, spelling, spotsigs, suffix_dedup, token_counts, toxicity, warc
 from cairnlake.llm.common import table
 
 
@@ -55,7 +55,32 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op8_spot_signatures, op9_warc_archive, op10_jaccard_join)}
+def op11_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit(documents, table(spark, sf_dir, "labels"))
+    return quality.score(documents, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted", "vote")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxic_neighbours, op2_suffix_dedup, op3_bpe_merge_replay, op4_source_mixing, op5_token_counts, op6_lattice_vectors, op7_chat_formatting, op8_spot_signatures, op9_warc_archive, op10_jaccard_join, op11_quality_neighbours, op12_spelling_variants, op13_importance_resampling)}
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8, with a table `crc` that holds the list `tab` in reach."""
+    each = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INTEGER, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {each}), lambda s, b: xor(s // 256, tab[(xor(s, b) % 256 + 1)::INTEGER])), 4294967295)"
+
+
+_CRC_TABLE = "crc AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i)))"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: The rest is not expressible in SQL; tests compare them with brute force, exact round trips or held-out labels.
 ORACLES: dict[str, str] = {
     "op4_source_mixing": r"""
@@ -91,4 +116,33 @@ c AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n)
 l AS (SELECT x, y FROM c WHERE 100 * k >= 75 * (nx + ny - k)),
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
 SELECT g.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id FROM g JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON m.x = g.doc_id""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+k AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS t, run, k FROM r WHERE length(run) >= 6),
+h AS (SELECT run, k, {_crc_sql("t")} AS h FROM k, crc),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run) + 2)::INTEGER) ELSE run END AS word, k FROM h),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+d AS (SELECT word, i, substr(word, 1, (i - 1)::INTEGER) || substr(word, (i + 1)::INTEGER) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT a.word AS x, b.word AS y FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.rest = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.rest = v.word),
+m AS (SELECT x, y, v.n, count(*) OVER (PARTITION BY x) AS n_near, row_number() OVER (PARTITION BY x ORDER BY v.n DESC, y) AS place FROM e JOIN v ON v.word = e.y),
+f AS (SELECT v.word, v.n, coalesce(m.n_near, 0) AS n_near, CASE WHEN m.n >= 5 * v.n THEN m.y END AS form, CASE WHEN m.n >= 5 * v.n THEN m.n END AS form_n FROM v LEFT JOIN m ON m.x = v.word AND m.place = 1),
+w AS (SELECT word, word AS place FROM f UNION ALL SELECT w.word, f.form FROM w JOIN f ON f.word = w.place AND f.form IS NOT NULL)
+SELECT f.word, f.form, w.place AS root, f.n, f.n_near, f.form_n FROM f JOIN w ON w.word = f.word JOIN f g ON g.word = w.place AND g.form IS NULL""",
+    "op13_importance_resampling": rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+x AS (SELECT doc_id, unnest(ws) AS word FROM d),
+q AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+u AS (SELECT word, {_crc_sql("word")} % 10000 AS bucket FROM (SELECT word FROM x UNION SELECT word FROM q), crc),
+s AS (SELECT bucket, count(*)::DOUBLE AS s FROM x JOIN u USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM q JOIN u USING (word) GROUP BY bucket),
+z AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS ss, (SELECT coalesce(sum(t), 0) FROM t) AS tt),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (ss + 10000) / ((coalesce(s, 0) + 1) * (tt + 10000)))) AS gain FROM s FULL JOIN t USING (bucket), z),
+w AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM x JOIN u USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+c AS (SELECT d.doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(d.doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN w ON w.doc_id = d.doc_id),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM c WHERE n_features >= 20)
+SELECT c.*, CASE WHEN place <= (SELECT count(*) FROM o) * 10 // 100 THEN place END AS rank FROM c LEFT JOIN o ON o.doc_id = c.doc_id""",
 }

@@ -6,7 +6,7 @@ import pytest
 from cairnlake.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings pages conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 OF = {"op6_lattice_vectors": ("embeddings", "vec_id"), "op7_chat_formatting": ("conversations", "conv_id"), "op9_warc_archive": ("pages", "page_id")}
 
 
@@ -27,8 +27,9 @@ def test_registered_query(spark, duck, name):
     df = queries.QUERIES[name](spark, SF)
     rows = df.collect()
     table, key = OF.get(name, ("documents", "doc_id"))
-    ids = {x for (x,) in duck.execute(f"select distinct {key} from {table}").fetchall()}
-    assert {r[key] for r in rows} == ids | ({-7} if key == "conv_id" else set())
+    if name != "op12_spelling_variants":  # which has a row for each word, held against its SQL
+        ids = {x for (x,) in duck.execute(f"select distinct {key} from {table}").fetchall()}
+        assert {r[key] for r in rows} == ids | ({-7} if key == "conv_id" else set())
     if name in queries.ORACLES:
         columns = sorted(df.columns)
         cursor = duck.execute(queries.ORACLES[name])
