@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnlake.sources.folders import rewritten
+
 
 def edge_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change): edges added, removed or kept."""
@@ -30,10 +29,15 @@ def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str =
     """(key, root, steps): each certificate followed to one without a known issuer or that issued itself.
 
     Every round doubles the distance covered, and is written to the shared folder, until nothing is left to follow.
-    Certificates that issue each other in a circle have no root: they are an error."""
+    Certificates that issue each other in a circle have no root: they are an error, and so is a key with two issuers. Rows
+    that repeat count once, and rows without a key are left out."""
+    certificates = certificates.where(F.col(key).isNotNull()).select(key, issuer).distinct()
+    certificates = certificates.groupBy(key).agg(F.count("*").alias("n"), F.min(issuer).alias(issuer))
+    two = F.raise_error(F.concat(F.lit("two issuers are named for "), F.col(key).cast("string")))
+    certificates = certificates.withColumn(issuer, F.when(F.col("n") > 1, two.cast(certificates.schema[issuer].dataType)).otherwise(F.col(issuer)))
     up = certificates.select(F.col(key).alias("node"), F.when(F.col(issuer) != F.col(key), F.col(issuer)).alias("up"))
     known = up.select(F.col("node").alias("up_node"))
-    up = _cut(up.join(known, up["up"] == known["up_node"], "left").select("node", F.coalesce("up_node", "node").alias("root"), F.when(F.col("up_node").isNull(), 0).otherwise(1).alias("steps")))
+    up = rewritten(up.join(known, up["up"] == known["up_node"], "left").select("node", F.coalesce("up_node", "node").alias("root"), F.when(F.col("up_node").isNull(), 0).otherwise(1).alias("steps")))
     reach, nodes = 1, up.count()
     while True:
         ends = up.where("steps = 0").select(F.col("node").alias("root"))
@@ -42,18 +46,5 @@ def chain_roots(certificates: DataFrame, key: str = "fingerprint", issuer: str =
         if reach > nodes:
             raise ValueError("certificates issue each other in a circle")
         ahead = up.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("steps").alias("more"))
-        up = _cut(up.join(ahead, "root").select("node", F.col("next").alias("root"), (F.col("steps") + F.col("more")).alias("steps")))
+        up = rewritten(up.join(ahead, "root").select("node", F.col("next").alias("root"), (F.col("steps") + F.col("more")).alias("steps")))
         reach *= 2
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read again, so that plans do not double with each round."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cairnlake-")
-    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

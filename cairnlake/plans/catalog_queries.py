@@ -5,14 +5,14 @@ lineitem for rows to merge, documents and pages for package contents."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import scalars
 from cairnlake.operators import checks, edges, events, merge, ranks, reprocess, universe
+from cairnlake.plans.registry import TABLES
+from cairnlake.sources.bucket_tables import BucketTable
+from cairnlake.sources.folders import shared_dir
 from cairnlake.streaming import incremental
 
 QUERIES: dict = {}
@@ -328,16 +328,30 @@ def version_set(spark, sf_dir):
 @_query(ORACLES["latest_event_per_key"])
 def catalog_stream(spark, sf_dir):
     """The latest event of each key, kept by a stream over the event files, as a batch finds it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cairnlake-")
-    root = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    root = shared_dir(spark)
     schema = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").withColumn("at", F.struct("ts", "event_id"))
-    run = incremental.merge_latest_stream(stream, f"{root}/t", f"{root}/cp", ["user_id", "event_type"], "at")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    run, table = incremental.merge_bucket_stream(stream, f"{root}/t", f"{root}/cp", ["user_id", "event_type"], ["ts", "event_id"], 16)
     run.awaitTermination()
-    versions = spark.read.parquet(f"{root}/t")
-    last = versions.agg(F.max("v")).first()[0]
-    return versions.where(F.col("v") == last).select("user_id", "event_type", "event_id", "value")
+    return table.read().select("user_id", "event_type", "event_id", "value")
+
+
+@_query("""
+WITH e AS (SELECT *, user_id || '/' || event_type AS identity, CASE WHEN hour(ts) < 12 THEN 1 ELSE 2 END AS scan, date_trunc('day', ts) AS commit_day FROM events),
+k AS (SELECT *, rank() OVER (PARTITION BY identity ORDER BY commit_day DESC, scan DESC) AS n FROM e)
+SELECT DISTINCT identity, event_id::VARCHAR AS advisory, (event_id % 4)::INTEGER AS severity, commit_day FROM k WHERE n = 1""")
+def bucket_merge(spark, sf_dir):
+    """Two scans of the events, before and after noon, merged one after the other into a bucketed table."""
+    log = _t(spark, sf_dir, "events")
+    table = BucketTable.of(spark, shared_dir(spark), TABLES["PackageVulnerabilities"], 32)
+    lower = F.col("user_id").cast("string")
+    for scan, rows in (("1", log.where(F.hour("ts") < 12)), ("2", log.where(F.hour("ts") >= 12))):
+        shaped = rows.select(
+            F.lit(scan).alias("ScanId"), F.lit(f"2024-03-0{scan}").cast("timestamp").alias("ScanTimestamp"), lower.alias("LowerId"),
+            F.concat_ws("/", lower, "event_type").alias("Identity"), lower.alias("Id"), F.col("event_type").alias("Version"),
+            F.date_trunc("day", "ts").cast("timestamp").alias("CatalogCommitTimestamp"), F.lit(None).cast("timestamp").alias("Created"), F.lit("Vulnerable").alias("ResultType"),
+            F.lit(None).cast("int").alias("GitHubDatabaseKey"), F.col("event_id").cast("string").alias("AdvisoryUrl"), (F.col("event_id") % 4).cast("int").alias("Severity"),
+        )
+        table.append(shaped, f"scan-{scan}")
+        table.compact()
+    return table.read().select(F.col("Identity").alias("identity"), F.col("AdvisoryUrl").alias("advisory"), F.col("Severity").alias("severity"), F.col("CatalogCommitTimestamp").cast("timestamp_ntz").alias("commit_day"))

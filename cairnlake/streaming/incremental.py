@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cairnlake.operators.events import in_bounds, latest
 from cairnlake.operators.merge import upsert_latest
+from cairnlake.sources.bucket_tables import BucketTable
 
 
 class Cursors:
@@ -91,3 +92,17 @@ def merge_latest_stream(stream: DataFrame, path: str, checkpoint: str, keys: lis
         new.write.mode("overwrite").parquet(f"{path}/v={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merge_bucket_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], at: list[str], buckets: int):
+    """Keeps the latest row of each key of a stream in a bucketed table, of which a batch rewrites only the buckets that
+    its keys fall into. A batch that is repeated after a failure leaves the table as it is."""
+    prune = lambda rows: latest(rows, keys, at)
+    table = BucketTable(stream.sparkSession, path, stream.schema, keys, F.concat_ws("/", *[F.col(k).cast("string") for k in keys]), buckets, prune)
+
+    def step(batch: DataFrame, number: int) -> None:
+        table.append(latest(batch, keys, at), f"batch-{number}")
+        table.compact()
+
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return query, table
