@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cairnlake.operators import scans
+
 
 def in_bounds(at: Column, low, high) -> Column:
     """low < at <= high."""
@@ -32,8 +34,10 @@ def drop_redundant(leaves: DataFrame, page: str, keys: list[str], order: list[st
 
 
 def ranked(df: DataFrame, by: list[str], partition: list[str] | None = None, name: str = "rank") -> DataFrame:
-    """A 0-based rank in the order of the columns."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*(partition or [])).orderBy(*by)) - 1)
+    """A 0-based rank in the order of the columns, inside each partition or over the whole table."""
+    if not partition:
+        return scans.numbered(df, by, name)
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*by)) - 1)
 
 
 def without_ignored(df: DataFrame, id_col: str, at: str, patterns: list[tuple[str, object, object]]) -> DataFrame:

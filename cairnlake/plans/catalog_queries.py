@@ -138,6 +138,31 @@ def contiguous_run_totals(spark, sf_dir):
     return universe.run_totals(rows, "event_id", "event_type", "user_id", "downloads").withColumn("run", F.col("run").cast("long"))
 
 
+@_query("""
+WITH e AS (SELECT event_id, event_type AS key, user_id::BIGINT AS part, event_id % 1000 AS value FROM events),
+m AS (SELECT *, CASE WHEN lag(key) OVER (ORDER BY event_id) IS NOT DISTINCT FROM key THEN 0 ELSE 1 END AS f FROM e),
+r AS (SELECT *, (sum(f) OVER (ORDER BY event_id))::BIGINT AS run FROM m),
+l AS (SELECT run, key, part, max_by(value, event_id) AS value FROM r GROUP BY 1, 2, 3),
+t AS (SELECT run, any_value(key) AS key, sum(value)::BIGINT AS total FROM l GROUP BY 1),
+k AS (SELECT DISTINCT key, part FROM e UNION SELECT c_mktsegment, c_custkey FROM customer),
+s AS (SELECT key, part, min(run) AS seen FROM r GROUP BY 1, 2)
+SELECT run, key, part, value::BIGINT AS value, total FROM l JOIN t USING (run, key)
+UNION ALL SELECT t.run, k.key, k.part, 0, t.total FROM k JOIN t ON t.key = k.key LEFT JOIN s ON s.key = k.key AND s.part = k.part WHERE s.seen IS NULL OR t.run < s.seen
+UNION ALL SELECT NULL, key, part, 0, 0 FROM k WHERE key NOT IN (SELECT key FROM t)""")
+def run_totals_with_unseen(spark, sf_dir):
+    """Totals of runs, and the known parts that a run has not named, with 0 and its total."""
+    rows = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("key"), F.col("user_id").cast("long").alias("part"), (F.col("event_id") % 1000).cast("long").alias("value"))
+    known = rows.select("key", "part").unionAll(_t(spark, sf_dir, "customer").select("c_mktsegment", F.col("c_custkey").cast("long")))
+    return universe.run_totals(rows, "event_id", "key", "part", "value", known)
+
+
+@_query("SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS place FROM orders")
+def global_rank(spark, sf_dir):
+    """Every order's place among all of them by price."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return events.ranked(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], name="place").select("o_orderkey", "o_custkey", "place")
+
+
 @_query("""
 SELECT c_custkey, coalesce(string_agg(v, '|' ORDER BY v), '') AS owners FROM customer
 LEFT JOIN (SELECT DISTINCT o_custkey, lower(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'F') ON o_custkey = c_custkey GROUP BY 1""")

@@ -1,45 +1,47 @@
-"""Readers of snapshot files as DataFrames. A snapshot is one JSON document; it is read whole and exploded at once."""
+"""Readers of snapshot files as DataFrames. A snapshot is one JSON document, of which many tasks read the items."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _document(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True)
+from cairnlake.sources.json_items import json_items
 
 
 def downloads_v1(spark: SparkSession, path: str) -> DataFrame:
     """(pos, id, version, downloads) from [[id, [version, n], ...], ...]; pos keeps the order of the file."""
-    outer = _document(spark, path).select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("p", "item"))
+    outer = json_items(spark, path).select(F.col("pos").alias("p"), F.from_json("item", "array<string>").alias("item"))
     inner = outer.select("p", F.col("item")[0].alias("id"), F.posexplode(F.slice("item", 2, F.size("item"))).alias("q", "pair"))
     pair = F.from_json("pair", "array<string>")
     return inner.select(F.struct("p", "q").alias("pos"), "id", pair[0].alias("version"), pair[1].cast("long").alias("downloads"))
 
 
+def _members(spark: SparkSession, path: str, value: str) -> DataFrame:
+    """(p, id, value) of the members of one JSON object, each parsed by itself, so repeated names stay apart."""
+    member = F.from_json(F.concat(F.lit("{"), "item", F.lit("}")), f"map<string,{value}>")
+    return json_items(spark, path).select(F.col("pos").alias("p"), F.explode(member).alias("id", "value"))
+
+
 def downloads_v2(spark: SparkSession, path: str) -> DataFrame:
     """The same facts from {id: {version: n}}; repeated names stay apart."""
-    outer = _document(spark, path).select(F.posexplode(F.from_json("value", "map<string,string>")).alias("p", "id", "versions"))
-    inner = outer.select("p", "id", F.posexplode(F.from_json("versions", "map<string,bigint>")).alias("q", "version", "downloads"))
+    inner = _members(spark, path, "string").select("p", "id", F.posexplode(F.from_json("value", "map<string,bigint>")).alias("q", "version", "downloads"))
     return inner.select(F.struct("p", "q").alias("pos"), "id", "version", "downloads")
 
 
 def names_by_id(spark: SparkSession, path: str, name: str = "owner") -> DataFrame:
     """(pos, id, name) from {id: [name, ...]}: owners and popularity transfers. An id without names gives no row."""
-    outer = _document(spark, path).select(F.posexplode(F.from_json("value", "map<string,array<string>>")).alias("p", "id", "names"))
-    return outer.select("p", "id", F.posexplode("names").alias("q", name)).select(F.struct("p", "q").alias("pos"), "id", name)
+    return _members(spark, path, "array<string>").select("p", "id", F.posexplode("value").alias("q", name)).select(F.struct("p", "q").alias("pos"), "id", name)
 
 
 def ids(spark: SparkSession, path: str) -> DataFrame:
     """(id) from [id, ...]: verified and excluded packages."""
-    return _document(spark, path).select(F.explode(F.from_json("value", "array<string>")).alias("id"))
+    return json_items(spark, path).select(F.explode(F.from_json(F.concat(F.lit("["), "item", F.lit("]")), "array<string>")).alias("id"))
 
 
 def repository_usage(spark: SparkSession, path: str) -> DataFrame:
     """(repository, stars, id) for each dependency of each repository."""
-    kind = "array<struct<Url:string,Stars:int,Id:string,Description:string,Dependencies:array<string>>>"
-    repo = _document(spark, path).select(F.explode(F.from_json("value", kind)).alias("r"))
+    kind = "struct<Url:string,Stars:int,Id:string,Description:string,Dependencies:array<string>>"
+    repo = json_items(spark, path).select(F.from_json("item", kind).alias("r"))
     return repo.select(F.coalesce("r.Id", "r.Url").alias("repository"), F.col("r.Stars").alias("stars"), F.explode("r.Dependencies").alias("id"))
 
 
