@@ -62,3 +62,37 @@ def version_set_as_of(history: DataFrame, as_of, checked: DataFrame | None = Non
         return history.where(F.col("created") <= as_of)
     known = checked.select("lower_id", F.lit(True).alias("__checked")).distinct()
     return history.join(known, "lower_id", "left").where(F.col("__checked").isNull() | (F.col("created") <= as_of)).drop("__checked")
+
+
+def existing_at(moments: DataFrame, things: DataFrame, key: str, width: int, salts: int = 16) -> DataFrame:
+    """(as_of, key) of all things (key, created) that existed at each of many moments (as_of): created <= as_of.
+
+    Time is cut into bins of `width` seconds, and a thing is sent to the bins from its creation to the last moment, so the join
+    has an equal key and compares times inside a bin only. Things are salted, so that few bins are no few tasks."""
+    at = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / width)
+    last = moments.agg(F.max("as_of")).first()[0]
+    if last is None:
+        return moments.select("as_of").limit(0).join(things.select(key).limit(0))
+    early = things.where(F.col("created") <= F.lit(last)).withColumn("__last", F.floor(F.unix_seconds(F.lit(last).cast("timestamp")) / width))
+    spread = early.select(key, "created", F.explode(F.sequence(at("created"), "__last")).alias("__bin"), F.pmod(F.xxhash64(key), F.lit(salts)).alias("__salt"))
+    asked = moments.select("as_of").distinct().select("as_of", at("as_of").alias("__bin"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("__salt"))
+    return asked.join(spread, ["__bin", "__salt"]).where(F.col("created") <= F.col("as_of")).select("as_of", key)
+
+
+def backfill(history: DataFrame, facts: DataFrame, moments: DataFrame, key: str, part: str, value: str, width: int = 90 * 86400) -> DataFrame:
+    """(as_of, key, part, value, total): what a snapshot of each moment gives, with the history (key, part, created) of all
+    parts. Keys and parts come in lower case.
+
+    Facts (as_of, key, part, value) of parts that did not exist yet drop out. A key with facts left has their sum as its total,
+    and its other parts that existed and that no fact names come with 0. A key that no fact names comes, if it existed, with
+    all its parts, later ones too, and 0; a key whose facts all drop out gives nothing."""
+    born = history.groupBy(key, part).agg(F.min("created").alias("created"))
+    kept = facts.join(born, [key, part]).where(F.col("created") <= F.col("as_of")).select("as_of", key, part, value)
+    totals = kept.groupBy("as_of", key).agg(F.sum(value).alias("total"))
+    zero = F.lit(0).cast(facts.schema[value].dataType).alias(value)
+    rest = totals.join(born, key).where(F.col("created") <= F.col("as_of")).join(facts.select("as_of", key, part), ["as_of", key, part], "left_anti")
+    keys = born.groupBy(key).agg(F.min("created").alias("created"))
+    unnamed = existing_at(moments, keys, key, width).join(facts.select("as_of", key).distinct(), ["as_of", key], "left_anti").join(born.select(key, part), key)
+    none = F.lit(0).cast(totals.schema["total"].dataType).alias("total")
+    out = kept.join(totals, ["as_of", key]).select("as_of", key, part, value, "total")
+    return out.unionByName(rest.select("as_of", key, part, zero, "total")).unionByName(unnamed.select("as_of", key, part, zero, none))

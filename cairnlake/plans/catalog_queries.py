@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from cairnlake.functions import scalars
 from cairnlake.operators import checks, edges, events, merge, ranks, reprocess, universe
 from cairnlake.plans.registry import TABLES
+from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
-from cairnlake.sources.folders import shared_dir
+from cairnlake.sources.folders import rewritten, shared_dir
 from cairnlake.streaming import incremental
 
 QUERIES: dict = {}
@@ -336,11 +337,58 @@ def path_parts(spark, sf_dir):
 
 
 @_query("""
-SELECT e1.user_id, count(*) AS n FROM events e1 JOIN (SELECT user_id, max_by(event_type, event_id) AS last FROM events GROUP BY 1) s ON e1.user_id = s.user_id
-WHERE e1.event_id <= 5000 GROUP BY 1""")
+SELECT e.user_id, count(*) AS n FROM events e LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 90) c ON c.user_id = e.user_id
+WHERE c.user_id IS NULL OR ts <= (SELECT to_timestamp((epoch(min(ts)) + epoch(max(ts))) / 2)::TIMESTAMP FROM events) GROUP BY 1""")
 def as_of_existence(spark, sf_dir):
-    history = _t(spark, sf_dir, "events").select(F.col("user_id").alias("lower_id"), F.col("event_id").alias("created"))
-    return events.version_set_as_of(history, 5000).groupBy(F.col("lower_id").alias("user_id")).agg(F.count("*").alias("n"))
+    """Events that count at the middle of the log's time: of users who are not checked, all."""
+    log = _t(spark, sf_dir, "events")
+    history = log.select(F.col("user_id").alias("lower_id"), F.col("ts").alias("created"))
+    first, last = log.agg(F.min("ts"), F.max("ts")).first()
+    checked = log.where("event_type = 'purchase' and value > 90").select(F.col("user_id").alias("lower_id"))
+    return events.version_set_as_of(history, F.lit(first + (last - first) / 2), checked).groupBy(F.col("lower_id").alias("user_id")).agg(F.count("*").alias("n"))
+
+
+@_query("""
+WITH f AS (SELECT date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS as_of, l_suppkey AS supplier, lower(l_returnflag || l_linestatus || l_linenumber) AS part, sum(l_quantity)::BIGINT AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
+h AS (SELECT l_suppkey AS supplier, lower(l_returnflag || l_linestatus || l_linenumber) AS part, min(l_shipdate) AS created FROM lineitem GROUP BY 1, 2),
+k AS (SELECT f.* FROM f JOIN h USING (supplier, part) WHERE created <= as_of),
+t AS (SELECT as_of, supplier, sum(n)::BIGINT AS total FROM k GROUP BY 1, 2),
+m AS (SELECT DISTINCT as_of FROM f),
+i AS (SELECT supplier, min(created) AS created FROM h GROUP BY 1),
+u AS (SELECT as_of, supplier FROM m, i WHERE created <= as_of EXCEPT SELECT as_of, supplier FROM f),
+r AS (SELECT as_of, supplier, part, n, total FROM k JOIN t USING (as_of, supplier)
+  UNION ALL SELECT t.as_of, t.supplier, h.part, 0, t.total FROM t JOIN h ON h.supplier = t.supplier AND created <= as_of LEFT JOIN f ON f.as_of = t.as_of AND f.supplier = t.supplier AND f.part = h.part WHERE f.part IS NULL
+  UNION ALL SELECT as_of, supplier, part, 0, 0 FROM u JOIN h USING (supplier))
+SELECT as_of, supplier, count(*) AS parts, count(CASE WHEN n > 0 THEN 1 END) AS named, sum(n)::BIGINT AS n, max(total)::BIGINT AS total, md5(string_agg(part, ',' ORDER BY part)) AS digest FROM r GROUP BY 1, 2""")
+def history_backfill(spark, sf_dir):
+    """A snapshot of each month of orders, with the parts that existed at its end."""
+    part = F.lower(F.concat("l_returnflag", "l_linestatus", "l_linenumber")).alias("part")
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("supplier"), part, "l_quantity", F.col("l_shipdate").alias("created"))
+    month = F.timestamp_add("MONTH", F.lit(1), F.date_trunc("month", "o_orderdate")).cast("timestamp_ntz").alias("as_of")
+    months = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), month)
+    facts = rewritten(lines.join(months, "l_orderkey").groupBy("as_of", "supplier", "part").agg(F.sum("l_quantity").cast("long").alias("n")))
+    out = events.backfill(lines, facts, facts, "supplier", "part", "n")
+    digest = F.md5(F.array_join(F.array_sort(F.collect_list("part")), ",")).alias("digest")
+    named = F.count(F.when(F.col("n") > 0, 1)).alias("named")
+    return out.groupBy("as_of", "supplier").agg(F.count("*").alias("parts"), named, F.sum("n").alias("n"), F.max("total").alias("total"), digest)
+
+
+@_query("""
+WITH e AS (SELECT user_id::VARCHAR AS id, ts AS commit_at, hour(ts) < 12 AS early FROM events),
+a AS (SELECT id, max(commit_at) AS c FROM e WHERE early GROUP BY 1),
+p AS (SELECT e.id, e.commit_at, a.c IS NOT NULL AND e.commit_at <= a.c AS reused FROM e LEFT JOIN a ON a.id = e.id WHERE NOT early),
+f AS (SELECT id, count(*) AS items, count(CASE WHEN reused THEN 1 END) AS n_reused, max(CASE WHEN NOT reused THEN commit_at END) AS late FROM p GROUP BY 1),
+d AS (SELECT doc_id::VARCHAR AS id, sha256(coalesce(text, '')) AS digest FROM documents)
+SELECT f.id, items, n_reused, CASE WHEN late IS NULL THEN 1 ELSE 2 END AS newest_run, digest FROM f LEFT JOIN d ON d.id = f.id""")
+def asset_reuse(spark, sf_dir):
+    """Two runs over the events before and after noon: digests of documents are fetched where no earlier fetch answers."""
+    items = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("id"), F.col("ts").alias("commit"))
+    texts = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    store = AssetStore.at(spark, shared_dir(spark), "id", "timestamp_ntz", "digest string")
+    store.resolve(items.where(F.hour("commit") < 12), lambda keys: keys.join(texts, "id"), 1)
+    out = store.resolve(items.where(F.hour("commit") >= 12), lambda keys: keys.join(texts, "id"), 2)
+    return out.groupBy("id").agg(F.count("*").alias("items"), F.count_if("reused").alias("n_reused"), F.max("run").cast("int").alias("newest_run"), F.max("digest").alias("digest"))
 
 
 @_query("""
