@@ -133,15 +133,27 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndar
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)]), starts
 
 
-def _word_rows(block: int, words: pa.Array, buckets: int) -> pa.Table:
-    """The words of a block of documents, packed in one row for each bucket that they fall into."""
+def _dealt(packs: list[bytes], buckets: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of a block of documents in the order of their buckets, and where each bucket starts (with an
+    end): the same for the same block, so that ids alone need to come back."""
+    seen = [pa.array([], pa.binary())]
+    for pack in packs:
+        data, offsets = _texts(pack)
+        if len(data):
+            seen.append(pre_tokens(data, offsets)[0].dictionary_encode().dictionary)
+    words = pa.concat_arrays(seen).dictionary_encode().dictionary
     data, offsets = _binary(words)
     prefix = prefix_hash(data)
     bucket = mix64(range_hash(prefix, offsets[:-1], offsets[1:])) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
-    at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return words.take(pa.array(order)), np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _word_rows(block: int, packs: list[bytes], buckets: int) -> pa.Table:
+    """The words of a block of documents, packed in one row for each bucket that they fall into."""
+    words, at = _dealt(packs, buckets)
     some = np.flatnonzero(at[1:] > at[:-1])
-    packs = [_packed(words.take(pa.array(order[at[k] : at[k + 1]]))) for k in some]
+    packs = [_packed(words.slice(at[k], at[k + 1] - at[k])) for k in some]
     return pa.table([pa.array(some, pa.int64()), pa.array(np.full(len(some), block, np.int64)), pa.array(packs, pa.binary())], ["bucket", "block", "words"])
 
 
@@ -168,7 +180,7 @@ def _word_array(packs: list[bytes]) -> tuple[pa.Array, list[int]]:
 
 def _replayed(table: pa.Table, vocabulary: Vocabulary) -> pa.Table:
     """The words of one bucket from all blocks of the corpus: every distinct word is replayed once, and each block
-    gets back the ids of its words."""
+    gets back the ids of its words, in their order."""
     words, sizes = _word_array(table["words"].to_pylist())
     coded = words.dictionary_encode()
     ids, offsets = replay(*_binary(coded.dictionary), vocabulary)
@@ -180,7 +192,7 @@ def _replayed(table: pa.Table, vocabulary: Vocabulary) -> pa.Table:
     for n in sizes:
         packs.append(zstandard.ZstdCompressor(level=1).compress(width[row : row + n].astype("<u4").tobytes() + flat[ends[row] : ends[row + n]].tobytes()))
         row += n
-    return pa.table([table["block"], table["words"], pa.array(packs, pa.binary())], ["block", "words", "ids"])
+    return pa.table([table["block"], table["bucket"], pa.array(packs, pa.binary())], ["block", "bucket", "ids"])
 
 
 class WordIds:
@@ -191,14 +203,18 @@ class WordIds:
         self.at = np.cumsum(width) - width
 
     @staticmethod
-    def of(packs: list[bytes], coded: list[bytes]) -> WordIds:
-        words, sizes = _word_array(packs)
+    def of(words: pa.Array, at: np.ndarray, coded: dict[int, bytes]) -> WordIds:
+        """words and at as _dealt() gives them, coded by bucket."""
         widths, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-        for n, pack in zip(sizes, coded):
+        for bucket, pack in sorted(coded.items()):
             plain = zstandard.ZstdDecompressor().decompress(pack)
+            n = int(at[bucket + 1] - at[bucket])
             widths.append(np.frombuffer(plain, "<u4", n))
             ids.append(np.frombuffer(plain, "<u4", offset=4 * n))
-        return WordIds(words, np.concatenate(ids).astype(np.int32), np.concatenate(widths).astype(np.int64))
+        width = np.concatenate(widths).astype(np.int64)
+        if len(width) != len(words):
+            raise ValueError("a text changed between the two passes over it")
+        return WordIds(words, np.concatenate(ids).astype(np.int32), width)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of every text of a block, and the offsets of the texts into them."""
@@ -245,20 +261,14 @@ def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: C
     documents = documents.repartition(n, "block")  # both uses share this shuffle
 
     def words_of(table: pa.Table) -> pa.Table:
-        seen = [pa.array([], pa.binary())]
-        for pack in table["texts"].to_pylist():
-            data, offsets = _texts(pack)
-            if len(data):
-                seen.append(pre_tokens(data, offsets)[0].dictionary_encode().dictionary)
-        words = pa.concat_arrays(seen).dictionary_encode().dictionary
-        return _word_rows(table["block"][0].as_py(), words, n)
+        return _word_rows(table["block"][0].as_py(), table["texts"].to_pylist(), n)
 
     def replay_bucket(table: pa.Table) -> pa.Table:
         return _replayed(table, ranked_bytes(path))
 
     def encode_rows(pieces: pa.Table, coded: pa.Table) -> pa.Table:
         vocabulary = ranked_bytes(path)
-        known = WordIds.of(coded["words"].to_pylist(), coded["ids"].to_pylist())
+        known = WordIds.of(*_dealt(pieces["texts"].to_pylist(), n), dict(zip(coded["bucket"].to_pylist(), coded["ids"].to_pylist())))
         rows = []
         for ids, pack in zip(pieces["ids"], pieces["texts"].to_pylist()):
             data, offsets = _texts(pack)
@@ -267,7 +277,7 @@ def _over_corpus(df: DataFrame, path: str, id_col: str, text_col: str, finish: C
         return pa.concat_tables(rows)
 
     words = documents.groupBy("block").applyInArrow(words_of, "bucket bigint, block bigint, words binary")
-    coded = words.groupBy("bucket").applyInArrow(replay_bucket, "block bigint, words binary, ids binary")
+    coded = words.groupBy("bucket").applyInArrow(replay_bucket, "block bigint, bucket bigint, ids binary")
     out = documents.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(encode_rows, f"id {kind}, {fields}")
     return out.select(F.col("id").alias(id_col), *names)
 

@@ -35,13 +35,14 @@ ENTRY = "page_id bigint, payload_bytes bigint, payload_digest string, record_typ
 def records(pages: DataFrame, least: int = LEAST_REVISIT_BYTES) -> DataFrame:
     """(record) of each page: response, or revisit of the row with the largest page_id among equal payloads
     of at least `least` bytes. Null html is an empty payload, a null url an empty target; rows with a null
-    page_id are responses that nothing refers to; repeated rows get a record each."""
+    page_id are responses that nothing refers to; rows that repeat a page_id, with the same html or another, get a record
+    each by their own payload."""
     html = F.coalesce("html", F.lit(""))
     p = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]", "%20").alias("url"), html.alias("html"), F.octet_length(html).cast("long").alias("size"), F.sha1(html.cast("binary")).alias("digest"))
     sized = p.where(F.col("size") >= least).select("page_id", "digest")
     first = sized.groupBy("digest").agg(F.max("page_id").alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = sized.join(first, "digest").where("page_id <> origin").select("page_id", "origin").distinct()
-    p = p.join(again, "page_id", "left")
+    again = sized.join(first, "digest").where("page_id <> origin").distinct()
+    p = p.join(again, ["page_id", "digest"], "left")
     revisit = F.col("origin").isNotNull()
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit("\r\n\r\n"))

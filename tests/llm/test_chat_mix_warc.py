@@ -164,3 +164,10 @@ def test_mixing_with_clashing_columns_ties_and_repeats(spark):
     total = sum(len(r["text"].split()) for r in mixed.collect())
     assert abs(total - 1.5 * sum(len(r[1].split()) for r in rows)) <= 2000
     assert mixing.mix(df, keep=["size"]).columns.count("size") == 1
+
+
+def test_repeated_page_ids_keep_their_own_payloads(spark, tmp_path):
+    pages = [(1, "x" * 2000), (1, "tiny"), (1, "y" * 3000), (5, "x" * 2000), (6, "y" * 3000), (6, "y" * 3000), (None, "x" * 2000)]
+    df = spark.createDataFrame([(i, f"http://h/{k}", html) for k, (i, html) in enumerate(pages)], "page_id long, url string, html string")
+    got = sorted(((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.archive(df, str(tmp_path / "w")).collect()), key=str)
+    assert got == sorted([(1, 2000, "revisit", 5), (1, 4, "response", None), (1, 3000, "revisit", 6), (5, 2000, "response", None), (6, 3000, "response", None), (6, 3000, "response", None), (0, 2000, "response", None)], key=str)
