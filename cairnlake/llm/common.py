@@ -60,6 +60,12 @@ def release(spark: SparkSession, keep: int = 0) -> None:
         drop_path(spark, path)
 
 
+def forget(spark: SparkSession) -> None:
+    """Has the driver's JVM collect its garbage. Only then does Spark let go of the shuffle files, broadcasts and plans of
+    rounds that are over; a loop of many small rounds otherwise keeps them all."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Bounds the Arrow batches of the session by bytes: rows are texts and archives of any length, and a
     worker and its executor each hold a batch."""
@@ -161,6 +167,7 @@ def components(edges: DataFrame) -> DataFrame:
     smallest of its component alone."""
     now, path = _rewritten(_oriented(edges), None)
     while True:
+        forget(now.sparkSession)
         shares = -(-now.count() // SHARE)
         now, path = _rewritten(_contracted(now.coalesce(max(1, shares))), path)
         if shares <= 1 or _are_stars(now):
