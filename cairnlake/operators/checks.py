@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from cairnlake.sources.folders import rewritten
 
 
 def compare_sets(left: DataFrame, right: DataFrame, column: str, shown: int = 5) -> DataFrame:
@@ -20,6 +23,51 @@ def compare_sets(left: DataFrame, right: DataFrame, column: str, shown: int = 5)
     return parts.agg(F.max("left_only").alias("left_only"), F.max("right_only").alias("right_only"), sample("left"), sample("right"))
 
 
+def compare_all(tables: dict[str, DataFrame], column: str, required: bool = True, shown: int = 5) -> DataFrame:
+    """(left_table, right_table, left_only, right_only, left_sample, right_sample) for each two tables, in the order of their
+    names: how many values only one of them has, and the smallest few of them.
+
+    Every value gets the set of tables that hold it, in one aggregation over all tables; what two tables lack of each
+    other follows from the number of values with each set. Null counts as a value, unless values are not required: then null
+    and empty values are left out. At most 62 tables."""
+    names = sorted(tables)
+    rows = [tables[n].select(F.col(column).alias("value"), F.lit(1 << i).cast("long").alias("held")) for i, n in enumerate(names)]
+    if len(rows) < 2:
+        raise ValueError("at least two tables are compared")
+    whole = reduce(DataFrame.unionAll, rows)
+    if not required:
+        whole = whole.where(F.col("value").isNotNull() & (F.col("value").cast("string") != ""))
+    sets = rewritten(whole.groupBy("value").agg(F.bit_or("held").alias("held")))
+    counts = sets.groupBy("held").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("held").orderBy(F.col("value").asc_nulls_first()))
+    few = sets.where(F.col("held") != (1 << len(names)) - 1).withColumn("nth", nth).where(F.col("nth") <= shown)  # Spark cuts each task to a few of each set
+    known = counts.join(few.groupBy("held").agg(F.collect_list(F.struct("value")).alias("few")), "held", "left")
+    has = lambda i: F.col("held").bitwiseAND(F.lit(1 << i)) != 0
+    pairs = [F.struct(F.lit(a).alias("left_table"), F.lit(b).alias("right_table"), has(i).alias("l"), has(j).alias("r")) for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    each = known.select("n", "few", F.explode(F.array(*pairs)).alias("p")).select("n", "few", "p.*")
+    side = lambda c, o: F.col(c) & ~F.col(o)
+    total = lambda c, o: F.coalesce(F.sum(F.when(side(c, o), F.col("n"))), F.lit(0))
+    smallest = lambda c, o: F.slice(F.array_sort(F.flatten(F.collect_list(F.when(side(c, o), F.col("few"))))), 1, shown)
+    out = each.groupBy("left_table", "right_table").agg(total("l", "r").alias("left_only"), total("r", "l").alias("right_only"), smallest("l", "r").alias("x"), smallest("r", "l").alias("y"))
+    value = lambda c: F.transform(c, lambda v: v["value"])
+    return out.select("left_table", "right_table", "left_only", "right_only", value("x").alias("left_sample"), value("y").alias("right_sample"))
+
+
+#: Columns that all tables which have them must agree on, and whether every row has one.
+SHARED_COLUMNS = {"Identity": True, "LowerId": True, "Fingerprint": False}
+
+
+def compare_registry(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """compare_all() of each shared column over the tables that have it: the first of them, by name, with each other one.
+    None where no column is in two tables."""
+    parts = []
+    for column, required in SHARED_COLUMNS.items():
+        own = {name: df for name, df in tables.items() if column in df.columns}
+        if len(own) > 1:
+            parts.append(compare_all(own, column, required).where(F.col("left_table") == min(own)).select(F.lit(column).alias("column"), "*"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def missing(rows: DataFrame, columns: list[str], reference: DataFrame, key: str) -> DataFrame:
     """Distinct non-empty values of several columns that the reference lacks."""
     values = rows.select(F.explode(F.array(*columns)).alias(key)).where(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).distinct()

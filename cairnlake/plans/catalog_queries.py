@@ -202,6 +202,22 @@ def set_compare_full_outer(spark, sf_dir):
     return out.select("left_only", "right_only", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("left_sample", "right_sample")])
 
 
+_KEYS = {"customer": "c_custkey", "lineitem": "l_suppkey", "orders": "o_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def _pair_sql(a: str, b: str) -> str:
+    only = lambda x, y: f"(SELECT {_KEYS[x]} AS k FROM {x} EXCEPT SELECT {_KEYS[y]} FROM {y})"
+    few = lambda x, y: f"coalesce((SELECT string_agg(k::VARCHAR, ',' ORDER BY k) FROM (SELECT k FROM {only(x, y)} ORDER BY k LIMIT 5)), '')"
+    return f"SELECT '{a}' AS left_table, '{b}' AS right_table, (SELECT count(*) FROM {only(a, b)}) AS left_only, (SELECT count(*) FROM {only(b, a)}) AS right_only, {few(a, b)} AS left_sample, {few(b, a)} AS right_sample"
+
+
+@_query(" UNION ALL ".join(_pair_sql(a, b) for a in _KEYS for b in _KEYS if a < b))
+def set_compare_many(spark, sf_dir):
+    """The keys of five tables, each with each other."""
+    out = checks.compare_all({t: _t(spark, sf_dir, t).select(F.col(c).alias("k")) for t, c in _KEYS.items()}, "k")
+    return out.select("left_table", "right_table", "left_only", "right_only", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("left_sample", "right_sample")])
+
+
 @_query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def subset_check(spark, sf_dir):
     return checks.missing(_t(spark, sf_dir, "documents"), ["doc_id"], _t(spark, sf_dir, "labels").select("doc_id"), "doc_id")

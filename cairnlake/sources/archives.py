@@ -7,11 +7,13 @@ import datetime
 import hashlib
 import io
 import re
+import struct
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,21 +46,84 @@ def _per_archive(packages: DataFrame, key: str, schema: str, rows_of) -> DataFra
 
 
 def _directory(content: bytes | None) -> list[tuple]:
+    return _directory_of(io.BytesIO(content or b""))
+
+
+def _directory_of(file) -> list[tuple]:
+    """The entries that the directory at the end of a file lists. Only the end record and the directory are read."""
     try:
-        with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
+        with zipfile.ZipFile(file) as z:
             out = []
             for i, e in enumerate(z.infolist()):
                 when = datetime.datetime(*e.date_time).isoformat() if e.date_time[1] and e.date_time[2] else None
                 out.append((i, e.orig_filename, e.flag_bits, e.compress_type, when, e.CRC, e.compress_size, e.file_size, e.comment.decode("utf-8", "replace")))
             return out
-    except zipfile.BadZipFile:
+    except (zipfile.BadZipFile, EOFError, struct.error):
         return []
 
 
+class _Opened(io.RawIOBase):
+    """A file of any store that Arrow knows, for reads at any place; places before the start are an OSError, as in Python."""
+
+    def __init__(self, path: str) -> None:
+        store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+        self.file = store.open_input_file(name)
+        self.size, self.at = self.file.size(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        at = offset + (0, self.at, self.size)[whence]
+        if at < 0:
+            raise OSError("a place before the start")
+        self.at = at
+        return at
+
+    def read(self, size: int = -1) -> bytes:
+        left = max(0, self.size - self.at)
+        data = self.file.read_at(left if size is None or size < 0 else min(size, left), self.at)
+        self.at += len(data)
+        return data
+
+    def close(self) -> None:
+        self.file.close()
+        super().close()
+
+
+def archive_tails(spark: SparkSession, path: str, pattern: str = "*.nupkg", files_per_task: int = 256) -> DataFrame:
+    """The rows of archive_entries() for all archives below path, without reading the archives: Spark lists the files, and tasks
+    read the end of each. Damaged archives give no row."""
+    names = [c.split()[0] for c in ENTRIES.split(", ")]
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    schema = pa.schema([("path_of_archive", pa.string())] + [(c.split()[0], kinds[c.split()[1]]) for c in ENTRIES.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with _Opened(name) as file:
+                    rows = [{"path_of_archive": name, **dict(zip(names, r))} for r in _directory_of(file)]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+
+    files = package_files(spark, path, pattern).select("path")  # no content, so none is read
+    spread = files.repartition(max(1, -(-files.count() // files_per_task)))
+    return _with_path_parts(spread.mapInArrow(run, f"path_of_archive string, {ENTRIES}"))
+
+
 def archive_entries(packages: DataFrame, key: str = "path") -> DataFrame:
     """One row for each entry of each archive, in the order of the directory, with the parts of its path."""
     own = f"{key}_of_archive" if key == "path" else key
-    rows = _per_archive(packages.withColumnRenamed(key, own), own, ENTRIES, _directory)
+    return _with_path_parts(_per_archive(packages.withColumnRenamed(key, own), own, ENTRIES, _directory))
+
+
+def _with_path_parts(rows: DataFrame) -> DataFrame:
     p = F.col("path")
     return rows.withColumn("file_name", scalars.file_name(p)).withColumn("file_extension", scalars.file_extension(p)).withColumn("top_level_folder", scalars.top_folder(p))
 
