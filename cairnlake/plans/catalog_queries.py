@@ -14,6 +14,7 @@ from cairnlake.plans.registry import TABLES
 from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
 from cairnlake.sources.folders import rewritten, shared_dir
+from cairnlake.sources.ledger import Ledger
 from cairnlake.streaming import incremental
 
 QUERIES: dict = {}
@@ -444,3 +445,26 @@ def bucket_merge(spark, sf_dir):
         table.append(shaped, f"scan-{scan}")
         table.compact()
     return table.read().select(F.col("Identity").alias("identity"), F.col("AdvisoryUrl").alias("advisory"), F.col("Severity").alias("severity"), F.col("CatalogCommitTimestamp").cast("timestamp_ntz").alias("commit_day"))
+
+
+@_query("""
+WITH o AS (SELECT * FROM orders WHERE o_orderstatus <> 'P')
+SELECT 'customers' AS table_name, 2 AS version, count(*) AS n, max(o_orderdate) AS newest FROM (SELECT o_custkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1)
+UNION ALL SELECT 'orders', 2, count(*), max(o_orderdate) FROM orders UNION ALL SELECT 'settled', 1, count(*), max(o_orderdate) FROM o""")
+def published_tables(spark, sf_dir):
+    """Three tables published together: first of settled orders, then of all; an older set, a set that breaks a check and an unchanged one
+    do not take their place."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    settled = orders.where("o_orderstatus <> 'P'")
+    ledger = Ledger(spark, shared_dir(spark))
+    by_customer = lambda df: lambda: df.groupBy("o_custkey").agg(F.max("o_orderdate").alias("o_orderdate"))
+    known = {"customers of orders": lambda t: t["orders"].join(t["customers"], "o_custkey", "left_anti")}
+    gate = ("orders", "o_orderkey", F.lit(-1).cast("long"))
+    least = settled.where(F.col("o_orderkey") < orders.agg(F.max("o_orderkey")).first()[0])
+    ledger.publish({"orders": ("a", lambda: least), "customers": ("a", by_customer(least)), "settled": ("a", lambda: settled)}, known, gate)
+    ledger.publish({"orders": ("b", lambda: orders), "customers": ("b", by_customer(orders)), "settled": ("a", lambda: settled)}, known, gate)
+    ledger.publish({"orders": ("c", lambda: settled), "customers": ("c", by_customer(settled))}, known, gate)
+    ledger.publish({"customers": ("d", by_customer(orders.where("o_orderstatus = 'P'")))}, known, gate)
+    ledger.publish({"orders": ("b", lambda: orders)}, known, gate)
+    parts = [df.agg(F.count("*").alias("n"), F.max("o_orderdate").alias("newest")).select(F.lit(name).alias("table_name"), F.lit(ledger._pointer()[1][name][0]).cast("int").alias("version"), "n", "newest") for name, df in ledger.tables().items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
