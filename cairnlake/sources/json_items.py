@@ -106,7 +106,7 @@ def _starts(totals: list, path: str) -> dict[tuple[int, int], tuple[int, int]]:
 
 def json_items(spark: SparkSession, path: str) -> DataFrame:
     """(pos, item): the items of the outermost array, or `"name":value` of the outermost object, of each document as they stand
-    there; pos sorts the items of a document, and keeps documents (by a hash of the path) apart. A document without items gives no row. Compressed files cannot be cut, so one task
+    there, in the order of pos, which keeps documents apart by a hash of their path. A document without items gives no row. Compressed files cannot be cut, so one task
     reads each of them. An item must fit into a task."""
     pieces = _pieces(spark, path)
     totals = pieces.mapInArrow(_range_totals, "file long, block bigint, quotes bigint, outside bigint, inside bigint").collect()  # one row for each range
@@ -166,7 +166,7 @@ def json_items(spark: SparkSession, path: str) -> DataFrame:
     text = F.col("item")
     text = F.when((F.col("pos.block") == F.col("first_block")) & (F.col("pos.nth") == 0), F.regexp_replace(text, r"^[\s\x{FEFF}]*[\[{]", "")).otherwise(text)
     text = F.when((F.col("pos.block") == F.col("last_block")) & (F.col("pos.nth") == F.col("last_nth")), F.regexp_replace(text, r"[\]}]\s*$", "")).otherwise(text)
-    return items.select("pos", F.trim(text, F.lit(" \t\r\n")).alias("item")).where("item <> ''")
+    return items.select("pos", F.trim(text, F.lit(" \t\r\n")).alias("item")).where("item <> ''").orderBy("pos")
 
 
 _ITEMS = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("nth", pa.int64()), ("item", pa.string())])
