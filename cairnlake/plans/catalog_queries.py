@@ -15,6 +15,7 @@ from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
 from cairnlake.sources.folders import rewritten, shared_dir
 from cairnlake.sources.ledger import Ledger
+from cairnlake.sources.reference_counts import ReferenceCounts
 from cairnlake.streaming import incremental
 
 QUERIES: dict = {}
@@ -324,6 +325,19 @@ def orphan_subjects(spark, sf_dir):
     return edges.orphans(lines.where("l_quantity = 50"), lines.where("l_quantity = 1 and l_returnflag = 'N'"), "l_suppkey")
 
 
+@_query("""
+WITH o AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_returnflag <> 'N'), n AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)
+SELECT s.b AS supplier, count(n.a) AS owners FROM (SELECT b FROM o UNION SELECT b FROM n) s LEFT JOIN n ON n.b = s.b GROUP BY 1""")
+def owner_counts(spark, sf_dir):
+    """Owners of each subject after two runs of edge changes: all edges of one age, then what differs in the next."""
+    pairs = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("owner"), F.col("l_suppkey").alias("subject"), "l_returnflag", "l_quantity")
+    old, new = pairs.where("l_returnflag <> 'N'"), pairs.where("l_returnflag = 'R' and l_quantity > 40")
+    kept = ReferenceCounts.at(spark, shared_dir(spark))
+    kept.apply(edges.edge_changes(old.limit(0), old, ["owner", "subject"]), 1)
+    kept.apply(edges.edge_changes(old, new, ["owner", "subject"]), 2)
+    return kept.counts().select(F.col("subject").cast("long").alias("supplier"), F.col("n").alias("owners"))
+
+
 @_query("SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k FROM events")
 def json_explode(spark, sf_dir):
     props = F.from_json("props", "map<string,bigint>")

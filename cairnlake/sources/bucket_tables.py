@@ -39,7 +39,7 @@ def _without_scan(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.lit(None).cast(rows.schema[c].dataType) for c in ("ScanId", "ScanTimestamp")})
 
 
-#: The rule of each kind of table, on old and new rows of whole buckets.
+#: The rule of each kind of table, on old and new rows of whole buckets; the column `bucket` stays.
 PRUNES: dict[str, Prune] = {
     "newest_batch": lambda rows: merge.newest_batch(rows, ["Identity"], "CatalogCommitTimestamp", "ScanTimestamp", "ScanId", final=True),
     "distinct": lambda rows: rows.distinct(),
