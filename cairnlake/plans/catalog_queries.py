@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import scalars
-from cairnlake.operators import checks, edges, events, merge, ranks, reprocess, universe
+from cairnlake.operators import checks, edges, events, merge, ranks, repositories, reprocess, universe
 from cairnlake.plans.registry import TABLES
 from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
@@ -482,3 +482,14 @@ def published_tables(spark, sf_dir):
     ledger.publish({"orders": ("b", lambda: orders)}, known, gate)
     parts = [df.agg(F.count("*").alias("n"), F.max("o_orderdate").alias("newest")).select(F.lit(name).alias("table_name"), F.lit(ledger._pointer()[1][name][0]).cast("int").alias("version"), "n", "newest") for name, df in ledger.tables().items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@_query(r"""
+SELECT CASE WHEN host = '' OR host = 'raw.githubusercontent.com' THEN 'Invalid' ELSE 'Unknown' END AS kind,
+       nullif(host, '') AS host, count(*) AS n_files, min(url) AS example
+FROM (SELECT url, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '')) AS host FROM pages)
+GROUP BY 1, 2""")
+def page_repositories(spark, sf_dir):
+    """Repositories that the URLs of pages name; none of the pages is a raw file."""
+    found = repositories.source_repositories(_t(spark, sf_dir, "pages"), [], "url")
+    return found.select("kind", "host", "n_files", "example")
