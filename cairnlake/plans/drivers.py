@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnlake.functions import scalars
+from cairnlake.functions.canonical_json import canonical_json
 from cairnlake.operators import events, ranks
 
 # The drivers and the drivers that must have reached a point before them.
@@ -63,6 +64,45 @@ def deprecations_and_vulnerabilities(leaves: DataFrame) -> tuple[DataFrame, Data
     return dep, vul
 
 
+def leaf_items(leaves: DataFrame) -> DataFrame:
+    """Rows of the table CatalogLeafItems: every event once, with what its leaf says, as JSON where that is nested.
+
+    leaves (commit_id, commit_timestamp, id, version, deleted, url, page_url, published, listed, created, last_edited, package_size,
+    package_hash, package_hash_algorithm, deprecation, vulnerabilities, repository, package_entries); deprecation is a struct,
+    the last one an array of structs with a fullName. The first manifest among the entries counts, whatever the case of its
+    extension, and the first entry that is exactly the signature. Deletions have commit, identity and publishing time alone."""
+    lower = F.lower("id")
+    version = F.coalesce(scalars.normalized_version(F.col("version")), F.col("version"))
+    here = lambda c: F.when(~F.col("deleted"), c)
+    as_json = lambda name: here(canonical_json(F.col(name), leaves.schema[name].dataType))
+    entries = F.col("package_entries")
+    entry = leaves.schema["package_entries"].dataType.elementType
+    first = lambda test: here(canonical_json(F.get(F.filter(entries, test), 0), entry))
+    return leaves.select(
+        F.col("commit_id").alias("CommitId"), F.col("commit_timestamp").alias("CommitTimestamp"), lower.alias("LowerId"), F.concat_ws("/", lower, F.lower(version)).alias("Identity"),
+        F.col("id").alias("Id"), F.col("version").alias("Version"), F.when(F.col("deleted"), "PackageDelete").otherwise("PackageDetails").alias("Type"),
+        F.col("url").alias("Url"), F.col("page_url").alias("PageUrl"), F.col("published").alias("Published"), here(scalars.is_listed(F.col("listed"), F.col("published"))).alias("IsListed"),
+        here(F.col("created")).alias("Created"), here(F.col("last_edited")).alias("LastEdited"), here(F.col("package_size")).alias("PackageSize"), here(F.col("package_hash")).alias("PackageHash"),
+        here(F.col("package_hash_algorithm")).alias("PackageHashAlgorithm"), as_json("deprecation").alias("Deprecation"), as_json("vulnerabilities").alias("Vulnerabilities"),
+        here(F.col("repository").isNotNull()).alias("HasRepositoryProperty"), here(F.when(entries.isNotNull(), F.size(entries))).alias("PackageEntryCount"),
+        first(lambda e: F.lower(e["fullName"]).endswith(".nuspec")).alias("NuspecPackageEntry"), first(lambda e: e["fullName"] == ".signature.p7s").alias("SignaturePackageEntry"),
+    ).distinct()
+
+
+def package_readmes(leaves: DataFrame, stored: DataFrame) -> DataFrame:
+    """(identity, ResultType, Size, LastModified, SHA256, Content) of the latest leaves (identity, deleted), one row each.
+
+    stored (identity, readme_type, data, last_modified) holds what was fetched: Embedded, Legacy or None, by whatever the source
+    answered. Bytes that are no UTF-8 become the replacement character, a byte order mark in front is left out; size and digest are
+    of all bytes. A package that was not fetched has no readme. One join on the identity."""
+    mark = F.startswith("data", F.lit(bytes.fromhex("efbbbf")))
+    text = F.make_valid_utf8(F.when(mark, F.expr("substring(data, 4)")).otherwise(F.col("data")).cast("string"))
+    kind = F.when(F.col("deleted"), "Deleted").when(F.col("readme_type").isin("Embedded", "Legacy"), F.col("readme_type")).otherwise("None")
+    has = lambda c: F.when(kind.isin("Embedded", "Legacy"), c)
+    rows = leaves.select("identity", "deleted").join(stored.select("identity", "readme_type", "data", "last_modified"), "identity", "left")
+    return rows.select("identity", kind.alias("ResultType"), has(F.octet_length("data")).alias("Size"), has(F.col("last_modified")).alias("LastModified"), has(scalars.base64_digest(F.col("data"))).alias("SHA256"), has(text).alias("Content"))
+
+
 def compatible_frameworks(assets: DataFrame, matrix: DataFrame) -> DataFrame:
     """(identity, framework, is_computed): the frameworks of a package and all that can use them. matrix is the fixed
     table (package_framework, project_framework); frameworks that it lacks stand for themselves."""
