@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import scalars
-from cairnlake.operators import checks, edges, events, merge, ranks, repositories, reprocess, universe
+from cairnlake.functions.canonical_json import canonical_json
+from cairnlake.operators import checks, edges, events, frameworks, merge, ranks, repositories, reprocess, universe
+from cairnlake.plans import drivers
 from cairnlake.plans.registry import TABLES
 from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
 from cairnlake.sources.folders import rewritten, shared_dir
 from cairnlake.sources.ledger import Ledger
 from cairnlake.sources.reference_counts import ReferenceCounts
-from cairnlake.streaming import incremental
+from cairnlake.streaming import incremental, keyed_state
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -493,3 +495,116 @@ def page_repositories(spark, sf_dir):
     """Repositories that the URLs of pages name; none of the pages is a raw file."""
     found = repositories.source_repositories(_t(spark, sf_dir, "pages"), [], "url")
     return found.select("kind", "host", "n_files", "example")
+
+
+def _json_text(text: str) -> str:
+    """SQL of a JSON string: each code point by itself."""
+    code = "unicode(c)"
+    return rf"""('"' || array_to_string(list_transform(string_split({text}, ''), lambda c: CASE WHEN c = '\' THEN '\\' WHEN {code} = 8 THEN '\b' WHEN {code} = 9 THEN '\t'
+ WHEN {code} = 10 THEN '\n' WHEN {code} = 12 THEN '\f' WHEN {code} = 13 THEN '\r' WHEN {code} BETWEEN 32 AND 126 AND c NOT IN ('"', '&', '''', '+', '<', '>', '`') THEN c
+ WHEN {code} < 65536 THEN '\u' || printf('%04X', {code}) ELSE '\u' || printf('%04X', 55296 + ({code} - 65536) // 1024) || '\u' || printf('%04X', 56320 + ({code} - 65536) % 1024) END), '') || '"')"""
+
+
+@_query(rf"""
+SELECT conv_id, turn, '{{"body":{{' || CASE WHEN role IS NULL THEN '' ELSE '"role":' || {_json_text("role")} || CASE WHEN text IS NULL THEN '' ELSE ',' END END
+ || CASE WHEN text IS NULL THEN '' ELSE '"text":' || {_json_text("text")} END || '}}'
+ || CASE WHEN conv_id IS NULL THEN '' ELSE ',"conv_id":' || conv_id END || ',"marks":[' || coalesce(CASE WHEN turn % 2 = 0 THEN 'true' ELSE 'false' END, 'null') || ',null]'
+ || CASE WHEN turn IS NULL THEN '' ELSE ',"numbers":{{"next":' || (turn + 1) || ',"turn":' || turn || '}}' END || '}}' AS json
+FROM conversations""")
+def canonical_turns(spark, sf_dir):
+    """The turns of conversations as canonical JSON with structs, arrays and maps in it."""
+    rows = _t(spark, sf_dir, "conversations")
+    item = F.struct(
+        "conv_id", F.struct("text", "role").alias("body"), F.array(F.col("turn") % 2 == 0, F.lit(None)).alias("marks"),
+        F.when(F.col("turn").isNotNull(), F.create_map(F.lit("turn"), F.col("turn").cast("long"), F.lit("next"), F.col("turn").cast("long") + 1)).alias("numbers"),
+    )
+    df = rows.select("conv_id", "turn", item.alias("item"))
+    return df.select("conv_id", "turn", canonical_json(F.col("item"), df.schema["item"].dataType).alias("json"))
+
+
+@_query(rf"""
+SELECT event_id, '{{"at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || rtrim(rtrim(strftime(ts, '.%f'), '0'), '.') || '","props":{{' || coalesce('"k":' || (props::JSON->>'k'), '') || '}},"type":' || {_json_text("event_type")}
+ || ',"user":{{"id":' || user_id || '}},"value":' || regexp_replace(value::VARCHAR, '\.0$', '') || '}}' AS json FROM events""")
+def canonical_events(spark, sf_dir):
+    """Events, their parsed properties among them, as canonical JSON."""
+    item = F.struct(F.col("value"), F.struct(F.col("user_id").alias("id")).alias("user"), F.col("event_type").alias("type"), F.from_json("props", "k long").alias("props"), F.col("ts").alias("at"))
+    df = _t(spark, sf_dir, "events").select("event_id", item.alias("item"))
+    return df.select("event_id", canonical_json(F.col("item"), df.schema["item"].dataType).alias("json"))
+
+
+# Names of frameworks by number, and which can use which.
+FRAMEWORK_NAMES = ["netstandard2.0", "net6.0", "net472", "netcoreapp3.1", "any", "net6.0-windows10.0.19041", "uap10.0", "portable-net45+win8", "wp8", "NET45", "net8.0", "netmf"]
+FRAMEWORK_MATRIX = [
+    ("netstandard2.0", "netstandard2.0"), ("netstandard2.0", "netstandard2.1"), ("netstandard2.0", "net472"), ("netstandard2.0", "net6.0"), ("netstandard2.0", "net8.0"),
+    ("net6.0", "net6.0"), ("net6.0", "net8.0"), ("net45", "net45"), ("net45", "net472"), ("net472", "net472"), ("netcoreapp3.1", "netcoreapp3.1"), ("netcoreapp3.1", "net6.0"),
+    ("netcoreapp3.1", "net8.0"), ("net6.0-windows", "net6.0-windows"), ("net6.0-windows", "net8.0-windows"), ("net8.0", "net8.0"),
+]
+
+
+@_query(f"""
+WITH names(i, name) AS (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(FRAMEWORK_NAMES))}), matrix(base, project) AS (VALUES {", ".join(map(str, FRAMEWORK_MATRIX))}),
+facts(name, product, place, sort) AS (VALUES ('net6.0', '.NET', 0, 1), ('net6.0-windows10.0.19041', '.NET', 0, 2), ('net8.0', '.NET', 0, 3), ('net8.0-windows', '.NET', 0, 4), ('netcoreapp3.1', '.NET Core', 1, 1),
+ ('netstandard2.0', '.NET Standard', 2, 1), ('netstandard2.1', '.NET Standard', 2, 2), ('net45', '.NET Framework', 3, 1), ('net472', '.NET Framework', 3, 2), ('netmf', '.NET Micro Framework', 4, 1),
+ ('uap10.0', 'Universal Windows Platform', 5, 1), ('wp8', 'Windows Phone', 6, 1)),
+own AS (SELECT DISTINCT l_suppkey, lower(name) AS name FROM lineitem JOIN names ON i = (l_partkey * 7 + l_suppkey * l_suppkey) % 31 WHERE name NOT IN ('any', 'portable-net45+win8')),
+found AS (SELECT l_suppkey, own.name AS own, coalesce(project, own.name) AS name FROM own LEFT JOIN matrix ON base = replace(own.name, '10.0.19041', '')),
+every AS (SELECT DISTINCT l_suppkey, CASE WHEN name = 'net6.0-windows' THEN own ELSE name END AS name FROM found),
+marked AS (SELECT every.l_suppkey, facts.*, own.name IS NULL AS computed FROM every JOIN facts USING (name) LEFT JOIN own ON own.l_suppkey = every.l_suppkey AND own.name = every.name)
+SELECT l_suppkey, (row_number() OVER (PARTITION BY l_suppkey ORDER BY place) - 1)::INTEGER AS position, product, string_agg(name || CASE WHEN computed THEN '*' ELSE '' END, ' ' ORDER BY sort) AS frameworks,
+ CASE WHEN place < 4 THEN min_by(name, sort) FILTER (NOT computed) END AS badge FROM marked GROUP BY l_suppkey, product, place""")
+def framework_products(spark, sf_dir):
+    """Product tables of packages whose frameworks the lines of suppliers name."""
+    pick = (F.col("l_partkey") * 7 + F.col("l_suppkey") * F.col("l_suppkey")) % 31
+    assets = _t(spark, sf_dir, "lineitem").select("l_suppkey", F.get(F.array(*[F.lit(n) for n in FRAMEWORK_NAMES]), pick.cast("int")).alias("framework"))
+    matrix = spark.createDataFrame(FRAMEWORK_MATRIX, "package_framework string, project_framework string")
+    found = frameworks.product_table(frameworks.usable_frameworks(assets, matrix, "l_suppkey"), "l_suppkey")
+    shown = F.array_join(F.transform("frameworks", lambda f: F.concat(f["framework"], F.when(f["is_computed"], "*").otherwise(""))), " ")
+    return found.select("l_suppkey", "position", "product", shown.alias("frameworks"), "badge")
+
+
+@_query("""
+WITH e AS (SELECT l_orderkey, count(*)::INTEGER AS entries, min(l_linenumber) FILTER (l_returnflag = 'R') AS n FROM lineitem GROUP BY 1),
+m AS (SELECT e.l_orderkey, entries, '{"fullName":"lib/' || min(l_linenumber) || '.NuSpec","length":' || min(l_partkey) || '}' AS entry
+  FROM e LEFT JOIN lineitem l ON l.l_orderkey = e.l_orderkey AND l_linenumber = n AND l_returnflag = 'R' GROUP BY e.l_orderkey, entries)
+SELECT o_custkey || '/1.' || o_orderkey || '.0' AS "Identity", CASE WHEN o_orderstatus = 'P' THEN 'PackageDelete' ELSE 'PackageDetails' END AS "Type",
+ CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority <> '1-URGENT' END AS "IsListed",
+ CASE WHEN o_orderstatus <> 'P' AND o_orderpriority = '5-LOW' THEN '{"reasons":["' || o_orderstatus || '"]}' END AS "Deprecation",
+ CASE WHEN o_orderstatus <> 'P' THEN entries END AS "PackageEntryCount", CASE WHEN o_orderstatus <> 'P' THEN entry END AS "NuspecPackageEntry"
+FROM orders LEFT JOIN m ON l_orderkey = o_orderkey""")
+def leaf_items(spark, sf_dir):
+    """Rows of the table of leaf items: orders as leaves, their lines as the entries of packages, returned ones as manifests."""
+    name = F.concat(F.lit("lib/"), F.col("l_linenumber"), F.when(F.col("l_returnflag") == "R", ".NuSpec").otherwise(".txt"))
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", name.alias("fullName"), F.col("l_partkey").alias("length")))).alias("entries"))
+    orders = _t(spark, sf_dir, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    at, key = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey").cast("string")
+    leaves = orders.select(
+        key.alias("commit_id"), at.alias("commit_timestamp"), F.col("o_custkey").cast("string").alias("id"), F.concat(F.lit("1."), key).alias("version"), (F.col("o_orderstatus") == "P").alias("deleted"),
+        key.alias("url"), key.alias("page_url"), at.alias("published"), (F.col("o_orderpriority") != "1-URGENT").alias("listed"), at.alias("created"), at.alias("last_edited"), F.lit(1).cast("long").alias("package_size"),
+        key.alias("package_hash"), key.alias("package_hash_algorithm"), F.when(F.col("o_orderpriority") == "5-LOW", F.struct(F.array("o_orderstatus").alias("reasons"), F.lit(None).cast("string").alias("message"))).alias("deprecation"),
+        F.lit(None).cast("array<struct<severity:string>>").alias("vulnerabilities"), F.lit(None).cast("string").alias("repository"),
+        F.transform("entries", lambda e: F.struct(e["length"].alias("length"), e["fullName"].alias("fullName"))).alias("package_entries"),
+    )
+    return drivers.leaf_items(leaves).select("Identity", "Type", "IsListed", "Deprecation", "PackageEntryCount", "NuspecPackageEntry")
+
+
+@_query("""
+SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'Deleted' WHEN doc_id % 5 = 0 OR text IS NULL THEN 'None' WHEN source IS NULL THEN 'Legacy' ELSE 'Embedded' END AS kind,
+ CASE WHEN doc_id % 7 <> 0 AND doc_id % 5 <> 0 THEN strlen(text)::INTEGER END AS size, CASE WHEN doc_id % 7 <> 0 AND doc_id % 5 <> 0 THEN to_base64(unhex(sha256(text))) END AS digest,
+ CASE WHEN doc_id % 7 <> 0 AND doc_id % 5 <> 0 THEN text END AS content FROM documents""")
+def readmes(spark, sf_dir):
+    """Documents as the readmes of packages, some deleted, some without one."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    leaves = docs.select(F.col("doc_id").alias("identity"), (F.col("doc_id") % 7 == 0).alias("deleted"))
+    kind = F.when((F.col("doc_id") % 5 == 0) | F.col("text").isNull(), "None").when(F.col("source").isNull(), "Legacy").otherwise("Embedded")
+    stored = docs.select(F.col("doc_id").alias("identity"), kind.alias("readme_type"), F.col("text").cast("binary").alias("data"), F.lit(None).cast("timestamp").alias("last_modified"))
+    return drivers.package_readmes(leaves, stored).select(F.col("identity").alias("doc_id"), F.col("ResultType").alias("kind"), F.col("Size").alias("size"), F.col("SHA256").alias("digest"), F.col("Content").alias("content"))
+
+
+@_query(ORACLES["latest_event_per_key"])
+def keyed_state_stream(spark, sf_dir):
+    """The latest event of each key, read back from the state store of a stream over the event files."""
+    schema = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    checkpoint = f"{shared_dir(spark)}/cp"
+    keyed_state.latest_state_stream(stream, checkpoint, ["user_id", "event_type"], ["ts", "event_id"]).awaitTermination()
+    return keyed_state.latest_state(spark, checkpoint).select("user_id", "event_type", "event_id", "value")
