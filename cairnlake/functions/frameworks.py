@@ -52,6 +52,11 @@ def _numbers(text: Column) -> Column:
     return F.slice(F.concat(numbers, F.array_repeat(F.lit(0), 4)), 1, 4)
 
 
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def framework(name: Column) -> Column:
     """A struct (family, version, profile, platform, platform_version) of a short name without regard to case; versions are arrays
     of four numbers, profile and platform empty where there is none. Null for a name that is no framework.
@@ -59,22 +64,25 @@ def framework(name: Column) -> Column:
     `net` from version 5 on is the family of netcoreapp, and what follows its dash is a platform with a version of its own; behind
     other names it is a profile. The frameworks of a portable name are its profile."""
     lower = F.lower(F.trim(name))
-    short = F.regexp_extract(lower, _NAME, 1)
-    version = _numbers(F.nullif(F.regexp_extract(lower, _NAME, 2), F.lit("")))
-    suffix = F.regexp_extract(lower, _NAME, 3)
-    named = F.create_map(*[F.lit(x) for pair in FAMILIES.items() for x in pair])[short]
-    modern = short.isin("net", "netcoreapp") & (version[0] >= 5)
-    family = F.when(modern, F.lit(".NETCoreApp")).otherwise(named)
-    platform = modern & (suffix != "")
-    good = named.isNotNull() & ~F.exists(version, lambda x: x.isNull()) & (~platform | F.regexp_like(suffix, F.lit(_PLATFORM)))
-    parts = (
-        family,
-        version,
-        F.when(platform, F.lit("")).otherwise(suffix),
-        F.when(platform, F.regexp_extract(suffix, _PLATFORM, 1)).otherwise(F.lit("")),
-        _numbers(F.when(platform, F.nullif(F.regexp_extract(suffix, _PLATFORM, 2), F.lit("")))),
-    )
-    return F.when(F.coalesce(good, F.lit(False)), F.struct(*[p.alias(n) for p, n in zip(parts, _FIELDS, strict=True)]))
+    number = _numbers(F.nullif(F.regexp_extract(lower, _NAME, 2), F.lit("")))
+    pieces = F.struct(F.regexp_extract(lower, _NAME, 1).alias("short"), number.alias("version"), F.regexp_extract(lower, _NAME, 3).alias("suffix"))
+    families = F.create_map(*[F.lit(x) for pair in FAMILIES.items() for x in pair])
+
+    def shaped(p: Column) -> Column:
+        version, suffix, named = p["version"], p["suffix"], families[p["short"]]
+        modern = p["short"].isin("net", "netcoreapp") & (version[0] >= 5)
+        platform = modern & (suffix != "")
+        good = named.isNotNull() & ~F.exists(version, lambda x: x.isNull()) & (~platform | F.regexp_like(suffix, F.lit(_PLATFORM)))
+        parts = (
+            F.when(modern, F.lit(".NETCoreApp")).otherwise(named),
+            version,
+            F.when(platform, F.lit("")).otherwise(suffix),
+            F.when(platform, F.regexp_extract(suffix, _PLATFORM, 1)).otherwise(F.lit("")),
+            _numbers(F.when(platform, F.nullif(F.regexp_extract(suffix, _PLATFORM, 2), F.lit("")))),
+        )
+        return F.when(F.coalesce(good, F.lit(False)), F.struct(*[x.alias(n) for x, n in zip(parts, _FIELDS, strict=True)]))
+
+    return _let(pieces, shaped)
 
 
 def _trimmed(version: Column, least: Column) -> Column:

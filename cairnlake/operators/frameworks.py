@@ -10,13 +10,20 @@ from cairnlake.functions import frameworks as fw
 FIRST_PRODUCTS = [fw.NET, fw.NET_CORE, fw.NET_STANDARD, fw.NET_FRAMEWORK]
 
 
+def _parsed(named: DataFrame, key: str) -> DataFrame:
+    """(key, own) of (key, name): every name is parsed once, not once a row; few they are, so Spark may broadcast them by their size."""
+    # a filter on what comes from an aggregate is not pushed below it, where it would parse the name of every row
+    names = named.groupBy("name").agg(F.max("name").alias("text")).select("name", fw.framework(F.col("text")).alias("own"))
+    return named.join(names, "name").where(fw.is_specific(F.col("own"))).select(key, "own").distinct()
+
+
 def usable_frameworks(assets: DataFrame, matrix: DataFrame, key: str = "identity") -> DataFrame:
     """(key, framework, is_computed) of assets (key, framework name): the frameworks that can use each package, parsed.
 
     matrix is the fixed table (package_framework, project_framework) of names. A framework is looked up without the version of its
     platform; if it has one, it stands for its entry among those found. One that the matrix lacks stands for itself. Names
     that are no frameworks, unsupported, portable and any drop out. is_computed: not named by the package itself."""
-    named = assets.select(key, fw.framework(F.col("framework")).alias("own")).where(fw.is_specific(F.col("own"))).distinct()
+    named = _parsed(assets.select(key, F.lower(F.trim("framework")).alias("name")).distinct(), key)
     pairs = matrix.select(fw.framework(F.col("package_framework")).alias("base"), fw.framework(F.col("project_framework")).alias("project")).where("base is not null and project is not null").distinct()
     bare = fw.without_platform_version(F.col("own"))
     found = named.withColumn("base", bare).join(pairs, "base", "left")
