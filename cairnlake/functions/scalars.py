@@ -101,6 +101,22 @@ def file_extension(path: Column) -> Column:
     return F.nullif(F.regexp_extract(file_name(path), r"(\.[^.]*)$", 1), F.lit(""))
 
 
+def has_extension(path: Column, extensions: list[str]) -> Column:
+    """Whether the extension is one of the given ones, without regard to case."""
+    return F.coalesce(F.lower(file_extension(path)).isin(*[e.lower() for e in extensions]), F.lit(False))
+
+
+def configured_extension(path: Column, extensions: list[str]) -> Column:
+    """A struct (extension, order) of the first of the given endings that the path has, without regard to case; null if it has none.
+    The empty ending stands for paths without an extension alone; a dot at the end is none."""
+    bare = F.coalesce(F.length(file_extension(path)) <= 1, F.lit(True))
+    out = F.when(F.lit(False), F.struct(F.lit("").alias("extension"), F.lit(0).alias("order")))
+    for order, ending in enumerate(extensions):
+        hit = bare if ending == "" else F.lower(path).endswith(ending.lower())
+        out = out.when(path.isNotNull() & hit, F.struct(F.lit(ending).alias("extension"), F.lit(order).alias("order")))
+    return out
+
+
 def top_folder(path: Column) -> Column:
     """What stands before the first separator; null without one."""
     return F.when(path.rlike(r"[/\\]"), F.regexp_extract(path, r"^([^/\\]*)[/\\]", 1))

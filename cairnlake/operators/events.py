@@ -56,6 +56,20 @@ def version_set(events: DataFrame, id_col: str, version_col: str, deleted: Colum
     return each.join(ids, "lower_id").select("lower_id", "id", "lower_version", "version", "is_deleted")
 
 
+def merged_version_set(stored: DataFrame, new: DataFrame, stored_commit, commit) -> DataFrame:
+    """A stored version set with a new one (both as version_set gives them) of a commit: the new one says how it spells ids and
+    versions and which are deleted; what it does not name stays. A commit older than the stored one changes nothing.
+
+    One aggregation by version and one by id, with map-side combine."""
+    if stored_commit is not None and commit < stored_commit:
+        return stored
+    both = stored.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+    last = lambda c: F.max_by(c, "__new").alias(c)
+    each = both.groupBy("lower_id", "lower_version").agg(last("version"), last("is_deleted"), last("id").alias("__id"), F.max("__new").alias("__new"))
+    ids = each.groupBy("lower_id").agg(F.max_by("__id", "__new").alias("id"))
+    return each.join(ids, "lower_id").select("lower_id", "id", "lower_version", "version", "is_deleted")
+
+
 def version_set_as_of(history: DataFrame, as_of, checked: DataFrame | None = None) -> DataFrame:
     """Versions created by a moment. Ids that `checked` (lower_id) does not name keep all their versions."""
     if checked is None:

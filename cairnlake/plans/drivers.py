@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,12 +97,44 @@ def package_readmes(leaves: DataFrame, stored: DataFrame) -> DataFrame:
     stored (identity, readme_type, data, last_modified) holds what was fetched: Embedded, Legacy or None, by whatever the source
     answered. Bytes that are no UTF-8 become the replacement character, a byte order mark in front is left out; size and digest are
     of all bytes. A package that was not fetched has no readme. One join on the identity."""
-    mark = F.startswith("data", F.lit(bytes.fromhex("efbbbf")))
-    text = F.make_valid_utf8(F.when(mark, F.expr("substring(data, 4)")).otherwise(F.col("data")).cast("string"))
     kind = F.when(F.col("deleted"), "Deleted").when(F.col("readme_type").isin("Embedded", "Legacy"), F.col("readme_type")).otherwise("None")
     has = lambda c: F.when(kind.isin("Embedded", "Legacy"), c)
     rows = leaves.select("identity", "deleted").join(stored.select("identity", "readme_type", "data", "last_modified"), "identity", "left")
-    return rows.select("identity", kind.alias("ResultType"), has(F.octet_length("data")).alias("Size"), has(F.col("last_modified")).alias("LastModified"), has(scalars.base64_digest(F.col("data"))).alias("SHA256"), has(text).alias("Content"))
+    return rows.select("identity", kind.alias("ResultType"), has(F.octet_length("data")).alias("Size"), has(F.col("last_modified")).alias("LastModified"), has(scalars.base64_digest(F.col("data"))).alias("SHA256"), has(_text_of("data")).alias("Content"))
+
+
+def package_licenses(leaves: DataFrame, parsed: DataFrame, files: DataFrame, expression_url: str = "", file_url: str = "") -> DataFrame:
+    """(identity, ResultType, Url, Expression, File, GeneratedUrl, ExpressionLicenses, ExpressionExceptions, FileLength, FileSHA256, FileContent)
+    of leaves (identity, deleted, license_file, license_expression, license_url), one row each.
+
+    A file that is not blank goes before an expression, this before a URL. parsed (expression, licenses, exceptions, is_valid) has a row
+    for each distinct expression, so that each is parsed once however many packages name it; one that is no valid expression has
+    no lists. files (identity, data) are the fetched texts."""
+    given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    kind = F.when(F.col("deleted"), "Deleted").when(F.trim(F.coalesce("license_file", F.lit(""))) != "", "File")
+    kind = kind.when(given("license_expression"), "Expression").when(given("license_url"), "Url").otherwise("None")
+    here = lambda c: F.when(~F.coalesce("deleted", F.lit(False)), c)
+    lists = parsed.where("is_valid").select(F.col("expression").alias("license_expression"), "licenses", "exceptions", F.lit(True).alias("__valid")).dropDuplicates(["license_expression"])
+    rows = leaves.select("identity", "deleted", "license_file", "license_expression", "license_url").join(lists, "license_expression", "left").join(files.select("identity", "data"), "identity", "left")
+    of_expression = F.when(F.col("__valid"), F.concat(F.lit(expression_url), F.replace("license_expression", F.lit(" "), F.lit("%20"))))
+    as_json = lambda name: here(canonical_json(F.col(name), rows.schema[name].dataType))
+    return rows.select(
+        "identity", kind.alias("ResultType"), here(F.col("license_url")).alias("Url"), here(F.col("license_expression")).alias("Expression"), here(F.col("license_file")).alias("File"),
+        here(F.when(given("license_file"), F.lit(file_url)).otherwise(of_expression)).alias("GeneratedUrl"), as_json("licenses").alias("ExpressionLicenses"), as_json("exceptions").alias("ExpressionExceptions"),
+        here(F.octet_length("data")).cast("long").alias("FileLength"), here(scalars.base64_digest(F.col("data"))).alias("FileSHA256"), here(_text_of("data")).alias("FileContent"),
+    )
+
+
+def _text_of(data: str):
+    """Bytes as UTF-8 text without a byte order mark in front; what is no UTF-8 becomes the replacement character."""
+    mark = F.startswith(data, F.lit(bytes.fromhex("efbbbf")))
+    return F.make_valid_utf8(F.when(mark, F.expr(f"substring({data}, 4)")).otherwise(F.col(data)).cast("string"))
+
+
+def title(name: str) -> str:
+    """The name of a driver in words: `LoadPackageReadme` is `Load package readme`, `...ToCsv` ends with `to CSV`."""
+    words = re.sub(r"(?<!^)([A-Z])", lambda m: " " + m[1].lower(), name)
+    return re.sub(r"(?i) csv$", " CSV", words)
 
 
 def compatible_frameworks(assets: DataFrame, matrix: DataFrame) -> DataFrame:

@@ -78,6 +78,12 @@ def closure(dependencies: dict[str, list[str]], wanted: list[str]) -> list[str]:
     return sorted(depth, key=lambda n: (depth[n], n))
 
 
+def run_all(cursors: Cursors, dependencies: dict[str, list[str]], wanted: list[str], events: DataFrame, at: str, steps: dict[str, Callable[[DataFrame], None]], **options) -> dict[str, str]:
+    """Runs the wanted names and all that they depend on, each after those it depends on and up to where these have come. Returns the
+    state of each run, in their order. A step that fails ends the runs; those before it keep their cursors, and a repeat goes on there."""
+    return {name: run_once(cursors, name, events, at, dependencies[name], steps[name], **options) for name in closure(dependencies, wanted)}
+
+
 def merge_latest_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], at: str):
     """Keeps the latest row of each key of a stream in numbered versions of a table below path.
 
