@@ -13,6 +13,7 @@ from cairnlake.functions.canonical_json import canonical_json
 from cairnlake.operators import checks, edges, events, frameworks, merge, ranks, repositories, reprocess, universe
 from cairnlake.plans import drivers
 from cairnlake.plans.registry import TABLES
+from cairnlake.sources import archives
 from cairnlake.sources.asset_store import AssetStore
 from cairnlake.sources.bucket_tables import BucketTable
 from cairnlake.sources.folders import rewritten, shared_dir
@@ -608,3 +609,53 @@ def keyed_state_stream(spark, sf_dir):
     checkpoint = f"{shared_dir(spark)}/cp"
     keyed_state.latest_state_stream(stream, checkpoint, ["user_id", "event_type"], ["ts", "event_id"]).awaitTermination()
     return keyed_state.latest_state(spark, checkpoint).select("user_id", "event_type", "event_id", "value")
+
+
+@_query("""
+SELECT event_id, upper(event_type[1]) || event_type[2:] AS id FROM events WHERE event_type <> 'error'""")
+def spelled_ids(spark, sf_dir):
+    """Events with their types as the known ones are spelled; unknown ones drop out."""
+    log = _t(spark, sf_dir, "events").select("event_id", F.upper("event_type").alias("id"))
+    known = _t(spark, sf_dir, "events").where("event_type <> 'error'").select(F.initcap("event_type").alias("id")).distinct()
+    return universe.cased(log, known, "id")
+
+
+@_query("""
+WITH s AS (SELECT event_type, user_id, max(event_id) % 3 = 0 AS gone FROM events WHERE hour(ts) < 12 GROUP BY 1, 2),
+n AS (SELECT event_type, user_id, max(event_id) % 3 = 0 AS gone FROM events WHERE hour(ts) >= 12 GROUP BY 1, 2)
+SELECT CASE WHEN event_type IN (SELECT event_type FROM n) THEN event_type ELSE upper(event_type) END AS id, user_id, coalesce(n.gone, s.gone) AS is_deleted
+FROM s FULL JOIN n USING (event_type, user_id)""")
+def version_set_merge(spark, sf_dir):
+    """The version set of the events before noon merged with that of the later ones, which spell ids otherwise."""
+    log = _t(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("hour"), "event_type", F.col("user_id").cast("string").alias("version"))
+    of = lambda rows, id_: events.version_set(rows.withColumn("id", id_), "id", "version", F.col("event_id") % 3 == 0, ["event_id"])
+    stored, new = of(log.where("hour < 12"), F.upper("event_type")), of(log.where("hour >= 12"), F.col("event_type"))
+    return events.merged_version_set(stored, new, 1, 2).select("id", F.col("version").cast("long").alias("user_id"), "is_deleted")
+
+
+@_query(r"""
+WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages),
+e AS (SELECT page_id, lower(path) AS path, length(regexp_extract(path, '(\.[^.]*)$', 1)) <= 1 OR regexp_extract(path, '([^/\\]*)$', 1) NOT LIKE '%.%' AS bare FROM p)
+SELECT page_id, CASE WHEN path LIKE '%1.html' THEN '1.HTML' WHEN path LIKE '%.html' THEN '.html' WHEN bare THEN '' WHEN path LIKE '%.com' THEN '.com' END AS extension,
+ CASE WHEN path LIKE '%1.html' THEN 0 WHEN path LIKE '%.html' THEN 1 WHEN bare THEN 2 WHEN path LIKE '%.com' THEN 3 END::INTEGER AS "order" FROM e""")
+def page_extensions(spark, sf_dir):
+    """The first of some endings that the path of each page has."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "[?#].*$", "").alias("path"))
+    return pages.select("page_id", scalars.configured_extension(F.col("path"), ["1.HTML", ".html", "", ".com"]).alias("e")).select("page_id", "e.extension", "e.order")
+
+
+@_query("""
+WITH d AS (SELECT doc_id, text, CASE WHEN n_chars < 200 THEN 'LICENSE' END AS file, upper(lang) || ' OR MIT' AS expression, source AS url FROM documents)
+SELECT doc_id, CASE WHEN file IS NOT NULL THEN 'File' WHEN expression IS NOT NULL THEN 'Expression' WHEN coalesce(url, '') <> '' THEN 'Url' ELSE 'None' END AS kind,
+ CASE WHEN file IS NOT NULL THEN 'file' ELSE 'license/' || replace(expression, ' ', '%20') END AS generated,
+ '["' || array_to_string(list_sort(list_distinct([replace(expression, ' OR MIT', ''), 'MIT'])), '","') || CASE WHEN expression IS NULL THEN NULL ELSE '"]' END AS licenses,
+ CASE WHEN file IS NOT NULL THEN strlen(text) END AS length FROM d""")
+def licenses(spark, sf_dir):
+    """Documents as packages with license files, expressions that their languages name, and URLs."""
+    file = F.when(F.col("n_chars") < 200, "LICENSE")
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("identity"), F.lit(False).alias("deleted"), file.alias("license_file"), F.concat(F.upper("lang"), F.lit(" OR MIT")).alias("license_expression"), F.col("source").alias("license_url"), "text")
+    named = docs.select("license_expression").where("license_expression is not null").distinct().withColumn("id", F.col("license_expression"))
+    parsed = archives.license_rows(named, "id", "license_expression").withColumnRenamed("id", "expression")
+    files = docs.where("license_file is not null").select("identity", F.col("text").cast("binary").alias("data"))
+    out = drivers.package_licenses(docs, parsed, files, "license/", "file")
+    return out.select(F.col("identity").alias("doc_id"), F.col("ResultType").alias("kind"), F.col("GeneratedUrl").alias("generated"), F.col("ExpressionLicenses").alias("licenses"), F.col("FileLength").alias("length"))
