@@ -42,6 +42,8 @@ def compare_all(tables: dict[str, DataFrame], column: str, required: bool = True
     nth = F.row_number().over(Window.partitionBy("held").orderBy(F.col("value").asc_nulls_first()))
     few = sets.where(F.col("held") != (1 << len(names)) - 1).withColumn("nth", nth).where(F.col("nth") <= shown)  # Spark cuts each task to a few of each set
     known = counts.join(few.groupBy("held").agg(F.collect_list(F.struct("value")).alias("few")), "held", "left")
+    nowhere = whole.sparkSession.range(1).select(F.lit(0).cast("long").alias("held"), F.lit(0).cast("long").alias("n"))  # tables without rows have their pairs too
+    known = known.unionByName(nowhere, allowMissingColumns=True)
     has = lambda i: F.col("held").bitwiseAND(F.lit(1 << i)) != 0
     pairs = [F.struct(F.lit(a).alias("left_table"), F.lit(b).alias("right_table"), has(i).alias("l"), has(j).alias("r")) for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
     each = known.select("n", "few", F.explode(F.array(*pairs)).alias("p")).select("n", "few", "p.*")

@@ -379,7 +379,8 @@ def as_of_existence(spark, sf_dir):
     history = log.select(F.col("user_id").alias("lower_id"), F.col("ts").alias("created"))
     first, last = log.agg(F.min("ts"), F.max("ts")).first()
     checked = log.where("event_type = 'purchase' and value > 90").select(F.col("user_id").alias("lower_id"))
-    return events.version_set_as_of(history, F.lit(first + (last - first) / 2), checked).groupBy(F.col("lower_id").alias("user_id")).agg(F.count("*").alias("n"))
+    middle = F.lit(None).cast("timestamp_ntz") if first is None else F.lit(first + (last - first) / 2)
+    return events.version_set_as_of(history, middle, checked).groupBy(F.col("lower_id").alias("user_id")).agg(F.count("*").alias("n"))
 
 
 @_query("""
