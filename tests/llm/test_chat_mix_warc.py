@@ -156,6 +156,42 @@ def test_one_long_conversation():
     assert made.text == chat.marked_turns(turns) and "".join(made.text[a:b] for a, b in made.spans) == made.text
 
 
+def _counted(template):
+    """The template, which goes by turns, and a list of how many turns each of its renderings had."""
+    sizes = []
+
+    def counted(turns):
+        sizes.append(len(turns))
+        return template(turns)
+
+    counted.by_turn = True
+    return counted, sizes
+
+
+def test_work_of_a_long_conversation_grows_with_its_turns():
+    assert chat.marked_turns.by_turn
+    counted, sizes = _counted(chat.marked_turns)
+    turns = [("user" if i % 2 else "assistant", f"# text {i}") for i in range(500)]
+    made = chat.format_turns(counted, turns)
+    assert made.text == chat.marked_turns(turns) and sum(sizes) <= 4 * len(turns)
+
+
+def test_continued_renderings_equal_those_of_every_prefix():
+    rng = random.Random(5)
+    every = lambda t: chat.marked_turns(t)  # noqa: E731  says nothing of itself
+    alphabet = ["", "#", "<", ":", "\\", "### ", "</turn>\n", "a", "\ue000", "\U0001f600", "".join(map(chr, range(0xE000, 0xF900)))]
+    for n in (0, 1, 2, 3, 9, 30):
+        turns = [(rng.choice(["user", "assistant", "", "a:#", "\ue000"]), "".join(rng.choices(alphabet, k=rng.randint(0, 4)))) for _ in range(n)]
+        assert chat.format_turns(chat.marked_turns, turns) == chat.format_turns(every, turns)
+
+
+def test_template_that_wrongly_says_it_goes_by_turns():
+    turns = [("user", f"text {i}") for i in range(12)]
+    for wrong in (lambda t: chat.marked_turns(t[-4:]), lambda t: "<s>" + chat.marked_turns(t), lambda t: "".join(f"{text}|" for _, text in t) + "end"):
+        plain = lambda t, wrong=wrong: wrong(t)
+        assert chat.format_turns(_counted(wrong)[0], turns) == chat.format_turns(plain, turns)
+
+
 def test_mixing_with_clashing_columns_ties_and_repeats(spark):
     rows = [(i % 3, "w " * (5 if i % 2 else 1000), "s", i, "x", 1.0, 2) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, copies string, target double, taken int")
