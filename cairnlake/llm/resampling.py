@@ -26,18 +26,21 @@ MOST_WORDS = 1
 LEAST_WORDS = 20
 PERCENT = 10
 SEED = 2024
-BLOCK_BYTES = 8 << 20
+#: A task holds about 30 times as many bytes in its arrays, where words are short.
+BLOCK_BYTES = 2 << 20
 SPACE = np.full(1, 0x20, np.uint8)
 
 
-def features(data: np.ndarray, offsets: np.ndarray, most_words: int = MOST_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(data: np.ndarray, offsets: np.ndarray, most_words: int = MOST_WORDS, stop: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text of each feature, CRC-32 of each feature, words of each text): runs of 1 to most_words consecutive words,
-    joined by one space."""
+    joined by one space. Only words that begin before `stop` count and begin a run."""
     low = lower_ascii(data)
     starts, lengths, first = word_ranges(ascii_word_bytes(low), offsets)
+    head = np.arange(len(starts) if stop is None else np.searchsorted(starts, stop))
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    crc = crcs(low, starts, lengths)
-    texts, made, head = [text], [crc], np.arange(len(starts))
+    words = np.bincount(text[head], minlength=len(offsets) - 1)
+    crc = crcs(low, starts[head], lengths[head])
+    texts, made = [text[head]], [crc]
     for k in range(1, most_words):
         keep = head + k < first[text[head] + 1]  # runs that have one more word in their text
         head, crc = head[keep], crc[keep]
@@ -45,7 +48,31 @@ def features(data: np.ndarray, offsets: np.ndarray, most_words: int = MOST_WORDS
         crc = crcs(low, starts[head + k], lengths[head + k], crc)
         texts.append(text[head])
         made.append(crc)
-    return np.concatenate(texts), np.concatenate(made), np.diff(first)
+    return np.concatenate(texts), np.concatenate(made), words
+
+
+def _place(data: np.ndarray, at: int, word: bool) -> int:
+    """The first place from `at` on that is of a word, or of none; the end if there is none."""
+    while at < len(data):
+        found = np.flatnonzero(ascii_word_bytes(data[at : at + 4096]) == word)
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
+def feature_parts(data: np.ndarray, offsets: np.ndarray, most_words: int = MOST_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The features of a block, those of a longer text by stretches that end between words and look ahead as far as runs reach."""
+    if len(offsets) != 2 or len(data) <= BLOCK_BYTES:
+        yield features(data, offsets, most_words)
+        return
+    at = 0
+    while at < len(data):
+        stop = end = _place(data, at + BLOCK_BYTES, False)
+        for _ in range(1, most_words):
+            end = _place(data, _place(data, end, True), False)
+        yield features(data[at:end], np.array([0, end - at]), most_words, stop - at)
+        at = stop
 
 
 def bucket_counts(df: DataFrame, text_col: str = "text", buckets: int = BUCKETS, most_words: int = MOST_WORDS) -> np.ndarray:
@@ -55,8 +82,8 @@ def bucket_counts(df: DataFrame, text_col: str = "text", buckets: int = BUCKETS,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for block in text_blocks(batches, "_text", BLOCK_BYTES):
-            _, crc, _ = features(*text_bytes(block["_text"]), most_words)
-            total += np.bincount(crc % np.uint32(buckets), minlength=buckets)
+            for _, crc, _ in feature_parts(*text_bytes(block["_text"]), most_words):
+                total += np.bincount(crc % np.uint32(buckets), minlength=buckets)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
@@ -82,10 +109,11 @@ def weighed(df: DataFrame, gains: np.ndarray, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains = shared.value
         for block in text_blocks(batches, "_text", BLOCK_BYTES):
-            text, crc, words = features(*text_bytes(block["_text"]), most_words)
-            n = np.bincount(text, minlength=len(words))
-            total = np.zeros(len(words), np.int64)
-            np.add.at(total, text, gains[crc % np.uint32(len(gains))])
+            n, words, total = np.zeros((3, block.num_rows), np.int64)
+            for text, crc, part in feature_parts(*text_bytes(block["_text"]), most_words):
+                n += np.bincount(text, minlength=len(n))
+                words += part
+                np.add.at(total, text, gains[crc % np.uint32(len(gains))])
             weight = total // np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([block["_id"].combine_chunks(), pa.array(n, pa.int64()), pa.array(words, pa.int64()), pa.array(weight, pa.int64())], [id_col, "n_features", "n_words", "weight"])
 

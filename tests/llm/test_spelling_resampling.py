@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -131,6 +132,42 @@ def test_resampling_equals_brute_force(spark, most):
     assert sorted(r[3] for r in got.values() if r[3]) == list(range(1, sum(r[3] is not None for r in got.values()) + 1))
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_features_of_a_long_text_come_in_stretches(monkeypatch, most):
+    rng = random.Random(most)
+    for size in (1, 7, 40, 5000):
+        monkeypatch.setattr(resampling, "BLOCK_BYTES", size)
+        for n in (1, 2, 3, 60):
+            text = rng.choice(["", " ", "--"]) + "".join(rng.choice(["Ab", "é", "漢字", "x" * 5000, "1"]) + rng.choice([" ", ", ", "\n"]) for _ in range(n))
+            data = np.frombuffer(text.encode(), np.uint8)
+            offsets = np.array([0, len(data)])
+            parts = list(resampling.feature_parts(data, offsets, most))
+            texts, crc, words = resampling.features(data, offsets, most)
+            assert Counter(np.concatenate([c for _, c, _ in parts]).tolist()) == Counter(crc.tolist()) and sum(w[0] for *_, w in parts) == words[0] == n
+            assert len(texts) == sum(max(0, n - k) for k in range(most)) and not any(t.any() for t, _, _ in parts)
+            assert len(parts) > 1 or n < 60 or size == 5000
+
+
+def test_memory_of_a_long_text():
+    data = np.frombuffer(b"a " * (8 << 19), np.uint8)
+    seen = 0
+    tracemalloc.start()
+    for _, crc, _ in resampling.feature_parts(data, np.array([0, len(data)])):
+        seen += len(crc)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == len(data) // 2 and peak < 15 * len(data)  # 33 times the text, if taken at once
+
+
+def test_long_texts_equal_brute_force(spark):
+    rng = random.Random(11)
+    long = " ".join(rng.choices(["Alpha", "b", "gamma1", "de", "omega"], k=700_000))
+    rows = [(1, long), (2, "alpha b de " * 10), (3, None), (4, long[:100])]
+    bench = spark.createDataFrame([("alpha de",)], "text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in resampling.resample(spark.createDataFrame(rows, "doc_id long, text string"), bench, percent=50).collect()}
+    assert len(long) > resampling.BLOCK_BYTES and got == brute_resample(rows, ["alpha de"], percent=50)
+
+
 def test_resampling_ties_repeats_nulls_and_empty_tables(spark):
     words = " ".join(["same"] * 30)
     rows = [(7, words)] * 40 + [(None, words)] * 5 + [(8, "few words"), (9, None)]
