@@ -192,6 +192,41 @@ def test_template_that_wrongly_says_it_goes_by_turns():
         assert chat.format_turns(_counted(wrong)[0], turns) == chat.format_turns(plain, turns)
 
 
+def test_conversations_are_rendered_prefix_by_prefix(spark, tmp_path):
+    def noted(turns):
+        with open(tmp_path / "sizes", "a") as f:
+            f.write(f"{len(turns)}\n")
+        return chat.marked_turns(turns)
+
+    noted.by_turn = True
+    rows = [(1, i, "user" if i % 2 else "assistant", f"# text {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_conversations(df, noted).first()
+    sizes = [int(x) for x in (tmp_path / "sizes").read_text().split()]
+    assert set(range(31)) <= set(sizes)
+    assert made["text"] == chat.marked_turns([(r, t) for _, _, r, t in rows]) and len(made["spans"]) == 30 and not made["rewrites"]
+
+
+def test_conversations_show_templates_that_only_seem_to_go_by_turns(spark):
+    # the whole conversation reads as if turns followed each other, the prefixes do not
+    def odd(turns):
+        return "".join(f"[{t}]" for _, t in turns) if len(turns) != 2 else "".join(f"<{t}>" for _, t in turns)
+
+    odd.by_turn = True
+    df = spark.createDataFrame([(1, i, "user", f"t{i}") for i in range(4)], "conv_id long, turn long, role string, text string")
+    assert chat.format_conversations(df, odd).first()["rewrites"]
+
+
+def test_kept_turns_stay_below_their_bound(monkeypatch):
+    monkeypatch.setattr(chat, "MOST_KEPT", 200)
+    kept = chat._Marked()
+    monkeypatch.setattr(chat, "_marked", kept)
+    turns = [("user", f"text# {i}" * (1 + i % 7 * 5)) for i in range(50)]
+    for n in range(51):
+        assert chat.parse_marked(chat.marked_turns(turns[:n])) == turns[:n]
+        assert kept.kept == sum(len(t) + len(m) for (_, t), m in kept.items()) <= 200
+
+
 def test_mixing_with_clashing_columns_ties_and_repeats(spark):
     rows = [(i % 3, "w " * (5 if i % 2 else 1000), "s", i, "x", 1.0, 2) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, copies string, target double, taken int")
